@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillscope.functions.common import (
-    avg_money, completed, money, round_avg_money, round_ratio, cents, weekday_name, year_month_label,
+    avg_money, money, round_avg_money, round_ratio, cents, weekday_name, year_month_label,
 )
 from tillscope.operators.joins import bounded, with_calendar
 from tillscope.operators.topk import top_k
@@ -20,7 +20,7 @@ from tillscope.sources.star import Star
 
 def daily_revenue(star: Star) -> DataFrame:
     """V1: completed orders per calendar day (days without orders are absent)."""
-    o = completed(star.orders).select("order_date_id", "order_total", "order_subtotal", "order_tax", "order_shipping")
+    o = star.completed_orders().select("order_date_id", "order_total", "order_subtotal", "order_tax", "order_shipping")
     o = with_calendar(star, o, "date_actual", "year", "month", "week_of_year")
     return (o.groupBy(F.col("date_actual").alias("order_date"), "year", "month", "week_of_year")
             .agg(money(F.sum("order_total")).alias("total_revenue"),
@@ -32,7 +32,7 @@ def daily_revenue(star: Star) -> DataFrame:
 
 def _channel_month(star: Star) -> DataFrame:
     """Exact per (channel_id, year, month) sums; the channel names are joined after."""
-    o = completed(star.orders).select("order_date_id", "channel_id", "order_total")
+    o = star.completed_orders().select("order_date_id", "channel_id", "order_total")
     o = with_calendar(star, o, "year", "month")
     return o.groupBy("channel_id", "year", "month").agg(
         F.sum("order_total").alias("_total"), F.count(F.lit(1)).alias("_n"))
@@ -57,7 +57,7 @@ def revenue_by_channel(star: Star) -> DataFrame:
 
 
 def _monthly(star: Star) -> DataFrame:
-    o = completed(star.orders).select("order_date_id", "order_total")
+    o = star.completed_orders().select("order_date_id", "order_total")
     o = with_calendar(star, o, "year", "month")
     return o.groupBy("year", "month").agg(F.sum("order_total").alias("_total"), F.count(F.lit(1)).alias("order_count"))
 
@@ -97,14 +97,14 @@ def top_channel_months(star: Star, k: int = 10) -> DataFrame:
 
 def weekday_distribution(star: Star) -> DataFrame:
     """Completed orders per ISO weekday with its name."""
-    o = with_calendar(star, completed(star.orders).select("order_date_id"), "day_of_week")
+    o = with_calendar(star, star.completed_orders().select("order_date_id"), "day_of_week")
     g = o.groupBy("day_of_week").agg(F.count(F.lit(1)).alias("orders"))
     return g.select("day_of_week", weekday_name("day_of_week").alias("weekday_name"), "orders").orderBy("day_of_week")
 
 
 def kpis(star: Star) -> DataFrame:
     """B1: one row — orders, active customers, revenue and average order value (completed)."""
-    o = completed(star.orders)
+    o = star.completed_orders()
     return o.agg(
         F.countDistinct("order_id").alias("total_orders"),
         F.countDistinct("customer_id").alias("active_customers"),
@@ -116,7 +116,7 @@ def kpis(star: Star) -> DataFrame:
 
 def revenue_trend(star: Star) -> DataFrame:
     """B2: V1 summed by month, with a 'YYYY-MM' label."""
-    o = completed(star.orders).select("order_date_id", "order_total")
+    o = star.completed_orders().select("order_date_id", "order_total")
     o = with_calendar(star, o, "year", "month")
     g = o.groupBy("year", "month").agg(money(F.sum("order_total")).alias("total_revenue"))
     return g.withColumn("year_month", year_month_label("year", "month")).orderBy("year", "month")
@@ -125,7 +125,7 @@ def revenue_trend(star: Star) -> DataFrame:
 def channel_totals(star: Star) -> DataFrame:
     """V2 summed per channel name, by revenue descending."""
     # the calendar join of V2 is inner: keep only orders whose date key resolves
-    o = with_calendar(star, completed(star.orders).select("order_date_id", "channel_id", "order_total"))
+    o = with_calendar(star, star.completed_orders().select("order_date_id", "channel_id", "order_total"))
     agg = o.groupBy("channel_id").agg(F.sum("order_total").alias("_total"))
     ch = bounded(star, "dim_channel", star.channel.select("channel_id", "channel_name"))
     g = agg.join(ch, "channel_id", "left").groupBy("channel_name").agg(money(F.sum("_total")).alias("revenue"))
@@ -134,6 +134,6 @@ def channel_totals(star: Star) -> DataFrame:
 
 def daily_series(star: Star) -> DataFrame:
     """Revenue per calendar day (completed orders)."""
-    o = with_calendar(star, completed(star.orders).select("order_date_id", "order_total"), "date_actual")
+    o = with_calendar(star, star.completed_orders().select("order_date_id", "order_total"), "date_actual")
     g = o.groupBy(F.col("date_actual").alias("date")).agg(money(F.sum("order_total")).alias("total_revenue"))
     return g.orderBy("date")

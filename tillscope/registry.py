@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillscope.plans import revenue
+from tillscope.plans import customers, revenue
 from tillscope.sources.driver import driver_star
 from tillscope.sources.star import Star
 
@@ -27,6 +27,19 @@ PLANS: dict[str, Callable[[Star], DataFrame]] = {
     "revenue_trend": revenue.revenue_trend,                 # B2
     "channel_totals": revenue.channel_totals,               # B3
     "daily_series": revenue.daily_series,                   # B13
+    # customers
+    "customer_lifetime_value": customers.customer_lifetime_value,  # V4
+    "rfm_base": customers.rfm_base,                         # V5
+    "rfm_scores": customers.rfm_scores,                     # V6
+    "ltv_segments": customers.ltv_segments,                 # V7
+    "top_customers": customers.top_customers,               # E3
+    "signup_cohorts": customers.signup_cohorts,             # E4
+    "repeat_rate": customers.repeat_rate,                   # E8
+    "segment_order_size": customers.segment_order_size,     # E10
+    "ltv_segment_summary": customers.ltv_segment_summary,   # B4
+    "rfm_top": customers.rfm_top,                           # B5
+    "rfm_points": customers.rfm_points,                     # B6
+    "rfm_features": customers.rfm_features,                 # B18
 }
 
 

@@ -28,6 +28,15 @@ class Star:
     # size is fixed by construction (a generated calendar, the static
     # channel list) carry one; a bound is what licenses a broadcast.
     row_bounds: dict = field(default_factory=dict)
+    # Optional source-aware builder of the completed orders (lets a mapped
+    # source push its raw status predicate into the scan).
+    completed_builder: object = None
+
+    def completed_orders(self) -> DataFrame:
+        """Order headers with status 'Completed'."""
+        if self.completed_builder is not None:
+            return self.completed_builder()
+        return self.orders.where(F.col("order_status") == F.lit("Completed"))
 
     def table(self, name: str) -> DataFrame:
         return {
