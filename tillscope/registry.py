@@ -8,10 +8,11 @@ statement for the same name where SQL can express it.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillscope.plans import customers, revenue
+from tillscope.plans import basket, cohorts, customers, forecast, products, revenue, segments
 from tillscope.sources.driver import driver_star
 from tillscope.sources.star import Star
 
@@ -40,6 +41,38 @@ PLANS: dict[str, Callable[[Star], DataFrame]] = {
     "rfm_top": customers.rfm_top,                           # B5
     "rfm_points": customers.rfm_points,                     # B6
     "rfm_features": customers.rfm_features,                 # B18
+    # products and categories
+    "revenue_by_category": products.revenue_by_category,    # V3
+    "category_margin_monthly": products.category_margin_monthly,  # V10
+    "best_sellers": products.best_sellers,                  # E6
+    "product_profitability": products.product_profitability,  # E7
+    "category_margin": products.category_margin,            # B9
+    "top_category_margin": products.top_category_margin,    # B10
+    "category_seasonality": products.category_seasonality,  # B16
+    "seasonality_matrix": products.seasonality_matrix,      # B17
+    # cohorts
+    "cohort_retention": cohorts.cohort_retention,           # V8
+    "cohort_retention_curve": cohorts.cohort_retention_curve,  # B7
+    "cohort_matrix": cohorts.cohort_matrix,                 # B8
+    # market basket (reference threshold 5; at product grain the driver data
+    # has no pair that frequent, so the same plans also run at threshold 2)
+    "product_pairs": basket.product_pairs,                  # V9
+    "association_rules": basket.association_rules,          # V11
+    "top_pairs": basket.top_pairs,                          # B11
+    "top_rules": basket.top_rules,                          # B12
+    "product_pairs_min2": partial(basket.product_pairs, min_orders=2),
+    "association_rules_min2": partial(basket.association_rules, min_orders=2),
+    "top_pairs_min2": partial(basket.top_pairs, min_orders=2),
+    "top_rules_min2": partial(basket.top_rules, min_orders=2),
+    # forecast
+    "monthly_moving_average": forecast.monthly_moving_average,  # B14
+    "naive_forecast": forecast.naive_forecast,              # B15
+    # segments
+    "standardized_features": segments.standardized_features,  # M1
+    "kmeans_segments": segments.kmeans_segments,            # M2
+    "cluster_sizes": segments.cluster_sizes,                # M3
+    "cluster_summary": segments.cluster_summary,            # M4
+    "cluster_points": segments.cluster_points,              # M5
 }
 
 
@@ -47,7 +80,7 @@ def _bind(plan: Callable[[Star], DataFrame]) -> Callable[[SparkSession, str], Da
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return plan(driver_star(spark, sf_dir))
 
-    run.__name__ = getattr(plan, "__name__", "query")
+    run.__name__ = getattr(plan, "__name__", getattr(getattr(plan, "func", None), "__name__", "query"))
     run.__doc__ = plan.__doc__
     return run
 
