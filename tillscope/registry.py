@@ -12,7 +12,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillscope.plans import basket, cohorts, customers, forecast, products, revenue, segments
+from tillscope.plans import basket, cohorts, customers, forecast, products, revenue, segments, warehouse
 from tillscope.sources.driver import driver_star
 from tillscope.sources.star import Star
 
@@ -73,6 +73,12 @@ PLANS: dict[str, Callable[[Star], DataFrame]] = {
     "cluster_sizes": segments.cluster_sizes,                # M3
     "cluster_summary": segments.cluster_summary,            # M4
     "cluster_points": segments.cluster_points,              # M5
+    # warehouse load and audit steps
+    "star_audit": warehouse.star_audit,                     # C1-C5
+    "order_financials": warehouse.order_financials,         # L9
+    "order_calendar": warehouse.order_calendar,             # L2
+    "sellable_products": warehouse.sellable_products,       # L12
+    "lines_after_cancel_purge": warehouse.lines_after_cancel_purge,  # L13
 }
 
 
