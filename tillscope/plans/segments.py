@@ -11,6 +11,8 @@ monetary value, since raw labels are arbitrary.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window
@@ -44,20 +46,24 @@ def standardized_features(star: Star, digits: int | None = 6) -> DataFrame:
 
 
 def kmeans_segments(star: Star, k: int = 4, seed: int = 42, n_init: int = 10, max_iter: int = 300,
-                    tol: float = 1e-4) -> DataFrame:
+                    tol: float = 1e-4, parallel_fits: int = 5) -> DataFrame:
     """M2: customer_id, the three features and a cluster label 0..k-1 (0 = highest mean monetary)."""
     spark = rfm_features(star).sparkSession
     ensure_checkpoint_dir(spark)
     z = standardize(rfm_features(star), FEATURES)
     vec = VectorAssembler(inputCols=[f"{c}_z" for c in FEATURES], outputCol="features").transform(z)
     data = vec.select("customer_id", *FEATURES, "features").checkpoint(eager=True)
-    best, best_cost = None, None
-    for i in range(n_init):
-        model = KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=tol, featuresCol="features",
+
+    def fit(s: int):
+        model = KMeans(k=k, seed=s, maxIter=max_iter, tol=tol, featuresCol="features",
                        predictionCol="raw_cluster").fit(data)
-        cost = model.summary.trainingCost
-        if best_cost is None or cost < best_cost:
-            best, best_cost = model, cost
+        return model.summary.trainingCost, s, model
+
+    # the restarts are independent Spark jobs: submit them concurrently so
+    # their many small iteration stages share the executors
+    with ThreadPoolExecutor(max_workers=max(1, min(n_init, parallel_fits))) as pool:
+        fits = list(pool.map(fit, [seed + i for i in range(n_init)]))
+    best = min(fits, key=lambda f: (f[0], f[1]))[2]
     pred = best.transform(data).select("customer_id", *FEATURES, "raw_cluster")
     means = pred.groupBy("raw_cluster").agg(F.avg("monetary_value").alias("_mm"))
     # k rows: the relabelling table is bounded by k

@@ -77,5 +77,9 @@ def calendar_for(df: DataFrame, date_col: str) -> DataFrame:
 
 def build_dim_channel(spark: SparkSession) -> DataFrame:
     """L3: the static channel dimension (8 rows, ids 1..8)."""
-    rows = [(i + 1, name, group, details) for i, (name, group, details) in enumerate(CHANNELS)]
-    return spark.createDataFrame(rows, schema=DIM_CHANNEL)
+    # literal rows expanded on the JVM (no Python-side RDD behind the table)
+    rows = [F.struct(F.lit(i + 1).cast("long").alias("channel_id"), F.lit(name).alias("channel_name"),
+                     F.lit(group).alias("channel_group"), F.lit(details).alias("details"))
+            for i, (name, group, details) in enumerate(CHANNELS)]
+    df = spark.range(1).select(F.inline(F.array(*rows)))
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in DIM_CHANNEL.fields])
