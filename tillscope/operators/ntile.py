@@ -22,6 +22,7 @@ otherwise get an arbitrary tile, as in any SQL engine.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,7 +37,14 @@ def global_position(df: DataFrame, order: list[Column], out: str = "_pos", parti
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(p, *order).sortWithinPartitions(*order).checkpoint(eager=True)
+    # the range sample and the partitioning pass both read the input: keep it
+    # for the duration of the checkpoint so an expensive upstream runs once
+    # (an evicted block is recomputed; correctness rests on the checkpoint)
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        ranged = src.repartitionByRange(p, *order).sortWithinPartitions(*order).checkpoint(eager=True)
+    finally:
+        src.unpersist()
     pid = F.spark_partition_id()
     # monotonically_increasing_id = partition id << 33 | row number inside the partition
     indexed = (ranged.withColumn(_PID, pid)

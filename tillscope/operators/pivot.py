@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillscope.session import ensure_checkpoint_dir
+
 
 def pivot_fill(df: DataFrame, index: str, columns: str, values: str, fill: float = 0.0,
                pivot_values: list | None = None) -> DataFrame:
@@ -17,6 +19,11 @@ def pivot_fill(df: DataFrame, index: str, columns: str, values: str, fill: float
     """
     keyed = df.where(F.col(index).isNotNull() & F.col(columns).isNotNull())
     if pivot_values is None:
+        # the input is an aggregate bounded by its keys (e.g. category × month):
+        # materialise it once in the checkpoint folder, so reading the key list
+        # and pivoting do not both re-run the plan that produced it
+        ensure_checkpoint_dir(df.sparkSession)
+        keyed = keyed.checkpoint(eager=True)
         pivot_values = sorted(r[0] for r in keyed.select(columns).distinct().collect())
     wide = keyed.groupBy(index).pivot(columns, pivot_values).agg(F.avg(values))
     names = [str(v) for v in pivot_values]

@@ -31,9 +31,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.driver.memory", os.environ.get("TILLSCOPE_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
-    if not os.environ.get("SPARK_CHECKPOINT_DIR_SET"):
-        # tests and local runs: a fresh scratch folder per session
-        builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tillscope-ckpt-", dir="/tmp"))
+    # tests and local runs: the given folder, else a fresh scratch folder per session
+    ckpt = os.environ.get("TILLSCOPE_CHECKPOINT_DIR") or tempfile.mkdtemp(prefix="tillscope-ckpt-", dir="/tmp")
+    builder = builder.config("spark.checkpoint.dir", ckpt)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
