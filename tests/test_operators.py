@@ -50,8 +50,11 @@ def test_pairs_match_brute_force_including_hot_basket(spark):
     rows += rows[:20]  # duplicated lines
     df = spark.createDataFrame(sorted(set(rows)), "basket long, item long")
     for min_count, chunk in [(1, 8), (2, 8), (3, 1000), (2, 1)]:
-        got = sorted(tuple(r) for r in pair_counts(df, "basket", "item", min_count, chunk_items=chunk).collect())
+        res = pair_counts(df, "basket", "item", min_count, chunk_items=chunk).collect()
+        got = sorted((r["item_1"], r["item_2"], r["n"]) for r in res)
         assert got == _brute_pairs(rows, min_count), (min_count, chunk)
+        per_item = {i: len({b for b, j in set(rows) if j == i}) for _, i in rows}
+        assert all(r["n_1"] == per_item[r["item_1"]] and r["n_2"] == per_item[r["item_2"]] for r in res)
 
 
 def test_pivot_fill_drops_null_keys_and_fills_zero(spark):

@@ -1,11 +1,17 @@
 """Co-occurrence counting of item pairs within baskets (J7, §4.3 basket pairs).
 
-Input: distinct (basket, item) rows.  Output: (item_1, item_2, n) with
-item_1 < item_2 and n = number of baskets holding both, for n ≥ min_count.
+Input: distinct (basket, item) rows.  Output: (item_1, item_2, n, n_1, n_2)
+with item_1 < item_2, n = number of baskets holding both (n ≥ min_count)
+and n_i = number of baskets holding item i.
 
 * Apriori pruning: a pair can reach ``min_count`` only if both items do, so
-  rows of rarer items are dropped (semi join) before any pair is formed.
-  This is exact, and usually removes most of the pair volume.
+  rows of rarer items are dropped before any pair is formed.  This is exact,
+  and usually removes most of the pair volume.  The per-item counts needed
+  for pruning travel on the rows, so rule metrics need no extra join.
+* The pruned basket rows are checkpointed once (shared
+  ``spark.checkpoint.dir``): the size count and both sides of the self-join
+  read that copy instead of re-running the line scan, status semi join and
+  de-duplication shuffle three times.
 * Hot baskets: the self-join on the basket key alone would put all pairs
   of one huge basket in one task.  Each basket is cut into
   S = ceil(size / chunk_items) chunks by item hash; chunk pair (a, b) with
@@ -16,9 +22,12 @@ item_1 < item_2 and n = number of baskets holding both, for n ≥ min_count.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillscope.session import ensure_checkpoint_dir
+
 DEFAULT_CHUNK_ITEMS = 2048
 
 
@@ -28,26 +37,39 @@ def frequent_items(baskets: DataFrame, basket: str, item: str) -> DataFrame:
 
 
 def pair_counts(baskets: DataFrame, basket: str, item: str, min_count: int = 1,
-                chunk_items: int = DEFAULT_CHUNK_ITEMS) -> DataFrame:
-    """(item_1, item_2, n) over distinct (basket, item) rows, n ≥ min_count."""
-    b = baskets.select(basket, item)
+                chunk_items: int = DEFAULT_CHUNK_ITEMS, materialize: bool = True) -> DataFrame:
+    """(item_1, item_2, n, n_1, n_2) over distinct (basket, item) rows, n ≥ min_count."""
+    src = baskets.select(basket, item)
+    if materialize:
+        src = src.persist(StorageLevel.MEMORY_AND_DISK)
+    freq = frequent_items(src, basket, item)
     if min_count > 1:
-        keep = frequent_items(b, basket, item).where(F.col("item_baskets") >= min_count).select(item)
-        b = b.join(keep, item, "left_semi")
+        freq = freq.where(F.col("item_baskets") >= min_count)
+    b = src.join(freq, item)  # attaches n_i; drops items that cannot be in a frequent pair
+    if materialize:
+        ensure_checkpoint_dir(b.sparkSession)
+        try:
+            b = b.checkpoint(eager=True)
+        finally:
+            src.unpersist()
     sizes = b.groupBy(basket).agg(F.count(F.lit(1)).alias("_size"))
     s = F.greatest(F.ceil(F.col("_size") / F.lit(chunk_items)), F.lit(1)).cast("int")
     b = (b.join(sizes, basket)
          .withColumn("_s", s)
          .withColumn("_c", F.pmod(F.xxhash64(F.col(item)), F.col("_s").cast("long")).cast("int")))
-    left = b.select(basket, F.col(item).alias("_x"), F.col("_c").alias("_a"),
+    left = b.select(basket, F.col(item).alias("_x"), F.col("item_baskets").alias("_nx"), F.col("_c").alias("_a"),
                     F.explode(F.sequence(F.col("_c"), F.col("_s") - 1)).alias("_b"))
-    right = b.select(basket, F.col(item).alias("_y"), F.col("_c").alias("_b"),
+    right = b.select(basket, F.col(item).alias("_y"), F.col("item_baskets").alias("_ny"), F.col("_c").alias("_b"),
                      F.explode(F.sequence(F.lit(0), F.col("_c"))).alias("_a"))
     j = left.join(right, [basket, "_a", "_b"])
     # within one chunk keep x < y; across chunks (a < b) every (x, y) is a distinct pair
     j = j.where((F.col("_a") < F.col("_b")) | (F.col("_x") < F.col("_y")))
-    pairs = j.select(F.least("_x", "_y").alias("item_1"), F.greatest("_x", "_y").alias("item_2"))
-    counted = pairs.groupBy("item_1", "item_2").agg(F.count(F.lit(1)).alias("n"))
+    lo = F.col("_x") < F.col("_y")
+    pairs = j.select(F.least("_x", "_y").alias("item_1"), F.greatest("_x", "_y").alias("item_2"),
+                     F.when(lo, F.col("_nx")).otherwise(F.col("_ny")).alias("_n1"),
+                     F.when(lo, F.col("_ny")).otherwise(F.col("_nx")).alias("_n2"))
+    counted = pairs.groupBy("item_1", "item_2").agg(
+        F.count(F.lit(1)).alias("n"), F.max("_n1").alias("n_1"), F.max("_n2").alias("n_2"))
     if min_count > 1:
         counted = counted.where(F.col("n") >= min_count)
     return counted

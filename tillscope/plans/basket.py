@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillscope.functions.common import exact_int, round_ratio
-from tillscope.operators.pairs import frequent_items, pair_counts
+from tillscope.operators.pairs import pair_counts
 from tillscope.operators.topk import top_k
 from tillscope.sources.star import Star
 
@@ -46,17 +46,12 @@ def product_pairs(star: Star, min_orders: int = MIN_ORDERS) -> DataFrame:
 
 
 def _rules(star: Star, min_orders: int) -> DataFrame:
-    b = baskets(star)
-    pc = pair_counts(b, "order_id", "product_id", min_orders).select(
+    pc = pair_counts(baskets(star), "order_id", "product_id", min_orders).select(
         F.col("item_1").alias("product_id_1"), F.col("item_2").alias("product_id_2"),
-        F.col("n").alias("cooccurrence_orders"))
-    counts = frequent_items(b, "order_id", "product_id")
-    c1 = counts.select(F.col("product_id").alias("product_id_1"), F.col("item_baskets").alias("_p1"))
-    c2 = counts.select(F.col("product_id").alias("product_id_2"), F.col("item_baskets").alias("_p2"))
+        F.col("n").alias("cooccurrence_orders"), F.col("n_1").alias("_p1"), F.col("n_2").alias("_p2"))
     # denominator: completed orders with or without lines; one row, broadcast
     total = star.completed_orders().agg(F.countDistinct("order_id").alias("_t"))
-    j = pc.join(c1, "product_id_1").join(c2, "product_id_2").crossJoin(F.broadcast(total))
-    return _names(j, star)
+    return _names(pc.crossJoin(F.broadcast(total)), star)
 
 
 def association_rules(star: Star, min_orders: int = MIN_ORDERS) -> DataFrame:
