@@ -63,3 +63,31 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)
     return path
+
+
+def cluster_conf(input_bytes: int, executor_cores_total: int, target_partition_mb: int = 256) -> dict[str, str]:
+    """Settings to size a cluster session for a given input volume.
+
+    Shuffle partitions are chosen so that an all-to-all shuffle of the whole
+    input lands near ``target_partition_mb`` per reducer (bounded below by
+    2× the cores, so every core has work); AQE then coalesces small ones
+    and splits skewed ones.  Scan splits stay at 256 MB so a task's input
+    fits comfortably in an executor's memory share.  Pass the result to
+    ``SparkSession.builder.config(map=...)``; ``spark.checkpoint.dir`` must
+    additionally name a shared, reliable folder.
+    """
+    target = target_partition_mb * 1024 * 1024
+    partitions = max(2 * executor_cores_total, -(-input_bytes // target))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 * 1024 * 1024),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.sql.session.timeZone": "UTC",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    }
