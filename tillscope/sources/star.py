@@ -11,6 +11,7 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillscope.functions.common import completed
 from tillscope.sources.schema import SCHEMAS
 
 TABLES = ("dim_customer", "dim_product", "dim_date", "dim_channel", "fact_order", "fact_order_item")
@@ -36,7 +37,7 @@ class Star:
         """Order headers with status 'Completed'."""
         if self.completed_builder is not None:
             return self.completed_builder()
-        return self.orders.where(F.col("order_status") == F.lit("Completed"))
+        return completed(self.orders)
 
     def table(self, name: str) -> DataFrame:
         return {
