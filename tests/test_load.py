@@ -74,3 +74,13 @@ def test_defaults(spark):
     o = s.orders.withColumn("order_tax", F.lit(None).cast("decimal(12,2)"))
     r = apply_defaults(o, "fact_order").collect()
     assert all(x["order_tax"] == Decimal("0.00") for x in r)
+
+
+def test_cluster_conf_sizes_partitions():
+    from tillscope.session import cluster_conf
+
+    small = cluster_conf(10 * 2**20, 16)
+    assert small["spark.sql.shuffle.partitions"] == "32"  # at least 2 x cores
+    big = cluster_conf(100 * 2**40, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (256 * 2**20)
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
