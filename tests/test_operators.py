@@ -62,3 +62,14 @@ def test_pivot_fill_drops_null_keys_and_fills_zero(spark):
                                "k string, m int, v double")
     rows = {r["k"]: (r["1"], r["2"]) for r in pivot_fill(df, "k", "m", "v").collect()}
     assert rows == {"a": (2.0, 4.0), "b": (0.0, 1.0)}
+
+
+def test_ntile_default_partitioning_with_coalescing(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", "50")  # AQE merges most of these ranges
+    try:
+        df = spark.range(0, 2000).withColumn("v", (F.col("id") * 7919) % 13)
+        got = ntile(df, 9, [F.col("v").asc()], "t", [F.col("id").desc()])
+        want = df.withColumn("t", F.ntile(9).over(Window.orderBy(F.col("v").asc(), F.col("id").desc())))
+        assert sorted(got.select("id", "t").collect()) == sorted(want.select("id", "t").collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")

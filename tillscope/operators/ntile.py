@@ -36,13 +36,16 @@ def global_position(df: DataFrame, order: list[Column], out: str = "_pos", parti
     """Add ``out`` = zero-based position of each row under ``order`` (and optionally the row total)."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # the range sample and the partitioning pass both read the input: keep it
     # for the duration of the checkpoint so an expensive upstream runs once
     # (an evicted block is recomputed; correctness rests on the checkpoint)
     src = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        ranged = src.repartitionByRange(p, *order).sortWithinPartitions(*order).checkpoint(eager=True)
+        # without an explicit count the range exchange starts from
+        # spark.sql.shuffle.partitions and AQE may merge adjacent ranges, which
+        # keeps them in order; an explicit count is used as given
+        ranged = (src.repartitionByRange(partitions, *order) if partitions else src.repartitionByRange(*order))
+        ranged = ranged.sortWithinPartitions(*order).checkpoint(eager=True)
     finally:
         src.unpersist()
     pid = F.spark_partition_id()
