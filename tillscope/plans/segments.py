@@ -13,7 +13,6 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window
@@ -62,14 +61,11 @@ def kmeans_segments(star: Star, k: int = 4, seed: int = 42, n_init: int = 10, ma
 
     # the restarts are independent Spark jobs: submit them concurrently so
     # their many small iteration stages share the executors
-    # one shared cached copy for all restarts (KMeans would otherwise cache
-    # its own copy per fit); the checkpoint underneath makes eviction harmless
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        with ThreadPoolExecutor(max_workers=max(1, min(n_init, parallel_fits))) as pool:
-            fits = list(pool.map(fit, [seed + i for i in range(n_init)]))
-    finally:
-        data.unpersist()
+    # each fit caches its own converted instances (KMeans does so for an
+    # uncached input) and releases them when done, so at most
+    # ``parallel_fits`` copies are held at once
+    with ThreadPoolExecutor(max_workers=max(1, min(n_init, parallel_fits))) as pool:
+        fits = list(pool.map(fit, [seed + i for i in range(n_init)]))
     best = min(fits, key=lambda f: (f[0], f[1]))[2]
     pred = best.transform(data).select("customer_id", *FEATURES, "raw_cluster")
     means = pred.groupBy("raw_cluster").agg(F.avg("monetary_value").alias("_mm"))
