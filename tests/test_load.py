@@ -84,3 +84,25 @@ def test_cluster_conf_sizes_partitions():
     big = cluster_conf(100 * 2**40, 8000)
     assert int(big["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (256 * 2**20)
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_bucketed_facts_join_without_shuffle(spark):
+    from tillscope.plans import products
+    from tillscope.sources.star import load_star_tables, save_star_tables
+
+    s = _star(spark)
+    save_star_tables(s, buckets=4, prefix="t_")
+    back = load_star_tables(spark, prefix="t_", row_bounds=s.row_bounds)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # force the shuffle-join strategy
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = products.completed_lines(back, "year", "month")
+        lines.collect()
+        plan = lines._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert "SortMergeJoin" in plan and "Exchange hashpartitioning(order_id" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    got = sorted(tuple(r) for r in products.revenue_by_category(back).collect())
+    want = sorted(tuple(r) for r in products.revenue_by_category(s).collect())
+    assert got == want

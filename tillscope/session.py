@@ -34,6 +34,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     # tests and local runs: the given folder, else a fresh scratch folder per session
     ckpt = os.environ.get("TILLSCOPE_CHECKPOINT_DIR") or tempfile.mkdtemp(prefix="tillscope-ckpt-", dir="/tmp")
     builder = builder.config("spark.checkpoint.dir", ckpt)
+    if not os.environ.get("TILLSCOPE_KEEP_WAREHOUSE"):
+        builder = builder.config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="tillscope-wh-", dir="/tmp"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
