@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tillscope.functions.common import money
 from tillscope.operators.audit import audit_star
@@ -38,6 +37,6 @@ def sellable_products(star: Star) -> DataFrame:
 
 def lines_after_cancel_purge(star: Star) -> DataFrame:
     """Order lines left after deleting the cancelled orders (FK ON DELETE CASCADE)."""
-    doomed = star.orders.where(F.col("order_status") == "Cancelled").select("order_id")
+    doomed = star.orders_with_status("Cancelled").select("order_id")
     _, items = cascade_delete(star.orders, star.items, doomed)
     return items.select("order_item_id", "order_id", "product_id", "quantity", money("line_total").alias("line_total"))

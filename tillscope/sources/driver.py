@@ -153,14 +153,17 @@ def _build_driver_star(spark: SparkSession, sf_dir: str) -> Star:
                             _read(spark, sf_dir, "region"), orders_raw)
     product = map_product(_read(spark, sf_dir, "part"))
     orders = map_orders(orders_raw, items)
-    completed_code = [code for code, name in STATUS_NAMES if name == "Completed"][0]
-
-    # same rows as filtering the mapped status, but the predicate is on the
-    # raw column, so it reaches the parquet scan as a pushed filter
-    completed = map_orders(orders_raw.where(F.col("o_orderstatus") == completed_code), items)
-
-    def completed_orders() -> DataFrame:
-        return completed
+    codes = {name: code for code, name in STATUS_NAMES}
+    by_status: dict = {}
+
+    def orders_with_status(status: str) -> DataFrame:
+        # same rows as filtering the mapped status, but the predicate is on the
+        # raw column, so it reaches the parquet scan as a pushed filter
+        if status not in by_status:
+            code = codes.get(status)
+            raw = orders_raw.where(F.col("o_orderstatus") == code) if code else orders_raw.where(F.lit(False))
+            by_status[status] = map_orders(raw, items)
+        return by_status[status]
 
     return Star(
         customer=customer,
@@ -170,5 +173,5 @@ def _build_driver_star(spark: SparkSession, sf_dir: str) -> Star:
         orders=orders,
         items=items,
         row_bounds={"dim_date": dim_date_rows(DRIVER_START, DRIVER_END), "dim_channel": 8},
-        completed_builder=completed_orders,
+        status_builder=orders_with_status,
     )

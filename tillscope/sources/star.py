@@ -29,14 +29,20 @@ class Star:
     # size is fixed by construction (a generated calendar, the static
     # channel list) carry one; a bound is what licenses a broadcast.
     row_bounds: dict = field(default_factory=dict)
-    # Optional source-aware builder of the completed orders (lets a mapped
+    # Optional source-aware builder of orders with one status (lets a mapped
     # source push its raw status predicate into the scan).
-    completed_builder: object = None
+    status_builder: object = None
+
+    def orders_with_status(self, status: str) -> DataFrame:
+        """Order headers with the given status."""
+        if self.status_builder is not None:
+            return self.status_builder(status)
+        return self.orders.where(F.col("order_status") == F.lit(status))
 
     def completed_orders(self) -> DataFrame:
         """Order headers with status 'Completed'."""
-        if self.completed_builder is not None:
-            return self.completed_builder()
+        if self.status_builder is not None:
+            return self.status_builder("Completed")
         return completed(self.orders)
 
     def table(self, name: str) -> DataFrame:
