@@ -51,9 +51,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder would not survive the loss of an executor.
     """
     sc = spark.sparkContext
-    current = sc._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get()
+    current = sc.getCheckpointDir()
+    if current:
+        return current
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
         if not sc.master.startswith("local"):

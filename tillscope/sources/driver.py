@@ -10,6 +10,7 @@ DuckDB oracle (``tillscope.oracle``).
 from __future__ import annotations
 
 import datetime as dt
+import weakref
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -128,7 +129,7 @@ def map_orders(orders: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
-_STARS: dict = {}
+_STARS: "weakref.WeakKeyDictionary[SparkSession, dict[str, Star]]" = weakref.WeakKeyDictionary()
 
 
 def driver_star(spark: SparkSession, sf_dir: str) -> Star:
@@ -138,11 +139,11 @@ def driver_star(spark: SparkSession, sf_dir: str) -> Star:
     built and shared by every query: file listing, footer reads and the
     analysis of the mapping happen once, not once per query.
     """
-    key = (spark._jsparkSession.hashCode(), sf_dir.rstrip("/"))
-    star = _STARS.get(key)
-    if star is None:
-        star = _STARS[key] = _build_driver_star(spark, sf_dir)
-    return star
+    per_session = _STARS.setdefault(spark, {})
+    key = sf_dir.rstrip("/")
+    if key not in per_session:
+        per_session[key] = _build_driver_star(spark, sf_dir)
+    return per_session[key]
 
 
 def _build_driver_star(spark: SparkSession, sf_dir: str) -> Star:
