@@ -17,13 +17,17 @@ from tillscope.sources.star import Star
 MAX_BROADCAST_ROWS = 2_000_000
 
 
+def broadcast_if_bounded(df: DataFrame, bound: int | None) -> DataFrame:
+    """``df`` with a broadcast hint iff ``bound`` (a proven row-count bound) is small enough."""
+    if bound is not None and bound <= MAX_BROADCAST_ROWS:
+        return F.broadcast(df)
+    return df
+
+
 def bounded(star: Star, table: str, df: DataFrame | None = None) -> DataFrame:
     """``df`` (default: the star table) with a broadcast hint iff its size is proven small."""
     frame = star.table(table) if df is None else df
-    bound = star.row_bounds.get(table)
-    if bound is not None and bound <= MAX_BROADCAST_ROWS:
-        return F.broadcast(frame)
-    return frame
+    return broadcast_if_bounded(frame, star.row_bounds.get(table))
 
 
 def with_calendar(star: Star, orders: DataFrame, *cols: str) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillscope.operators.finance import order_rollup
+from tillscope.operators.joins import broadcast_if_bounded
 from tillscope.sources.dims import build_dim_channel, build_dim_date, date_key, dim_date_rows
 from tillscope.sources.schema import MONEY_10, MONEY_12
 from tillscope.sources.star import Star
@@ -48,10 +49,11 @@ def _case(column: str, pairs) -> F.Column:
 def map_customer(customer: DataFrame, nation: DataFrame, region: DataFrame, orders: DataFrame) -> DataFrame:
     first_order = (orders.groupBy(F.col("o_custkey").alias("c_custkey"))
                    .agg(F.to_date(F.min("o_orderdate")).alias("created_date")))
-    geo = (F.broadcast(nation.select("n_nationkey", "n_name", "n_regionkey"))
-           .join(F.broadcast(region.select("r_regionkey", "r_name")),
+    # nation and region sizes are fixed by the TPC-H schema, whatever the scale
+    geo = (broadcast_if_bounded(nation.select("n_nationkey", "n_name", "n_regionkey"), NATION_ROWS)
+           .join(broadcast_if_bounded(region.select("r_regionkey", "r_name"), REGION_ROWS),
                  F.col("n_regionkey") == F.col("r_regionkey"), "left"))
-    c = customer.join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    c = customer.join(broadcast_if_bounded(geo, NATION_ROWS), F.col("c_nationkey") == F.col("n_nationkey"), "left")
     c = c.join(first_order, "c_custkey", "left")
     null = F.lit(None).cast("string")
     return c.select(
