@@ -37,3 +37,19 @@ def test_kmeans_clusters_cover_all_customers(spark):
     summ = segments.cluster_summary(s, n_init=2).collect()
     monetary = [r["avg_monetary"] for r in summ]
     assert monetary == sorted(monetary, reverse=True)
+
+
+def test_pairs_agree_with_fpgrowth(spark):
+    """Cross-check of the pair counts with Spark ML's FP-growth frequent 2-itemsets."""
+    from pyspark.ml.fpm import FPGrowth
+
+    s = driver_star(spark, SMOKE)
+    b = basket.baskets(s)
+    n_baskets = b.select("order_id").distinct().count()
+    items = b.groupBy("order_id").agg(F.collect_set("product_id").alias("items"))
+    model = FPGrowth(itemsCol="items", minSupport=2 / n_baskets - 1e-12, minConfidence=0.0).fit(items)
+    fp = {(min(r["items"]), max(r["items"])): r["freq"]
+          for r in model.freqItemsets.where(F.size("items") == 2).collect()}
+    ours = {(r["product_id_1"], r["product_id_2"]): r["cooccurrence_orders"]
+            for r in basket.product_pairs(s, min_orders=2).collect()}
+    assert ours and ours == fp
