@@ -53,3 +53,39 @@ def test_pairs_agree_with_fpgrowth(spark):
     ours = {(r["product_id_1"], r["product_id_2"]): r["cooccurrence_orders"]
             for r in basket.product_pairs(s, min_orders=2).collect()}
     assert ours and ours == fp
+
+
+def test_distributed_tiles_equal_window_tiles(spark):
+    s = driver_star(spark, SMOKE)
+    key = ["customer_id", "recency_score", "frequency_score", "monetary_score", "rfm_score"]
+    big = sorted(tuple(r) for r in customers.rfm_scores(s).select(*key).collect())
+    small = sorted(tuple(r) for r in customers.rfm_scores(s, small=True).select(*key).collect())
+    assert big == small
+    q = ["customer_id", "revenue_quartile"]
+    assert sorted(tuple(r) for r in customers.ltv_segments(s).select(*q).collect()) == \
+        sorted(tuple(r) for r in customers.ltv_segments(s, small=True).select(*q).collect())
+
+
+def test_kmeans_inertia_close_to_brute_force(spark):
+    """Our best-of-n Spark k-means reaches (about) the inertia of a plain numpy Lloyd search."""
+    import numpy as np
+
+    s = driver_star(spark, SMOKE)
+    z = segments.standardized_features(s, digits=None).orderBy("customer_id").collect()
+    x = np.array([[r["recency_days_z"], r["frequency_z"], r["monetary_value_z"]] for r in z])
+    seg = {r["customer_id"]: r["cluster"] for r in segments.kmeans_segments(s, n_init=4).collect()}
+    labels = np.array([seg[r["customer_id"]] for r in z])
+    ours = sum(((x[labels == c] - x[labels == c].mean(axis=0)) ** 2).sum() for c in set(labels))
+
+    rng = np.random.default_rng(0)
+    best = np.inf
+    for _ in range(20):
+        centers = x[rng.choice(len(x), 4, replace=False)]
+        for _ in range(100):
+            lab = ((x[:, None, :] - centers[None]) ** 2).sum(-1).argmin(1)
+            new = np.array([x[lab == c].mean(0) if (lab == c).any() else centers[c] for c in range(4)])
+            if np.allclose(new, centers):
+                break
+            centers = new
+        best = min(best, ((x - centers[lab]) ** 2).sum())
+    assert ours <= best * 1.10
