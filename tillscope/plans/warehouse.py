@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from tillscope.functions.common import money
 from tillscope.operators.audit import audit_star
 from tillscope.operators.finance import order_financials as _order_financials
-from tillscope.operators.maintenance import active_products, cascade_delete
+from tillscope.operators.maintenance import active_products, attach_date_key, cascade_delete, insert_new
 from tillscope.sources.dims import calendar_for
 from tillscope.sources.star import Star
 
@@ -40,3 +40,15 @@ def lines_after_cancel_purge(star: Star) -> DataFrame:
     doomed = star.orders_with_status("Cancelled").select("order_id")
     _, items = cascade_delete(star.orders, star.items, doomed)
     return items.select("order_item_id", "order_id", "product_id", "quantity", money("line_total").alias("line_total"))
+
+
+def calendar_reseed(star: Star) -> DataFrame:
+    """L4: loading the calendar seed a second time adds nothing (conflicts on either unique key)."""
+    cal = order_calendar(star)
+    return insert_new(cal, order_calendar(star), [["date_id"], ["date_actual"]])
+
+
+def order_date_keys(star: Star) -> DataFrame:
+    """Each order's calendar key looked up by its creation date (unknown dates raise)."""
+    o = star.orders.select("order_id", "created_at")
+    return attach_date_key(o, star.date, "created_at").select("order_id", "date_id")

@@ -79,6 +79,8 @@ PLANS: dict[str, Callable[[Star], DataFrame]] = {
     "order_calendar": warehouse.order_calendar,             # L2
     "sellable_products": warehouse.sellable_products,       # L12
     "lines_after_cancel_purge": warehouse.lines_after_cancel_purge,  # L13
+    "calendar_reseed": warehouse.calendar_reseed,           # L4
+    "order_date_keys": warehouse.order_date_keys,           # L10
 }
 
 
