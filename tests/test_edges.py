@@ -153,3 +153,13 @@ def test_calendar_2020_leap_year(spark):
     assert cal.count() == 1827
     r = cal.where(F.col("date_actual") == d(2024, 12, 29)).collect()[0]
     assert (r["day_of_week"], r["is_weekend"], r["date_id"]) == (7, True, 20241229)
+
+
+def test_rfm_best_high_flips_tiles(star):
+    low = {r["customer_id"]: r for r in customers.rfm_scores(star, small=True).collect()}
+    high = {r["customer_id"]: r for r in customers.rfm_scores(star, best="high", small=True).collect()}
+    for cid, r in low.items():
+        h = high[cid]
+        assert (h["recency_score"], h["frequency_score"], h["monetary_score"]) == \
+            (6 - r["recency_score"], 6 - r["frequency_score"], 6 - r["monetary_score"])
+        assert h["rfm_code"] == f"{h['recency_score']}{h['frequency_score']}{h['monetary_score']}"
