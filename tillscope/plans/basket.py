@@ -8,15 +8,13 @@ hot-basket-safe) and product names are joined after the threshold.
 
 from __future__ import annotations
 
-import weakref
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillscope.functions.common import exact_int, round_ratio
 from tillscope.operators.pairs import pair_counts
 from tillscope.operators.topk import top_k
-from tillscope.session import ensure_checkpoint_dir
+from tillscope.plans.shared import per_star
 from tillscope.sources.star import Star
 
 MIN_ORDERS = 5
@@ -36,26 +34,15 @@ def _names(df: DataFrame, star: Star) -> DataFrame:
     return df.join(p1, "product_id_1").join(p2, "product_id_2")
 
 
-_SHARED: dict[int, dict[int, DataFrame]] = {}
-
-
 def pair_table(star: Star, min_orders: int = MIN_ORDERS) -> DataFrame:
     """Frequent product pairs with their counts, computed once per star and threshold.
 
     V9, V11 and their reports all start from the same pair counts; the
-    table is checkpointed on first use (shared ``spark.checkpoint.dir``) and
-    reused while the star object lives, so a session asking for pairs and
-    rules does the basket self-join once.
+    table is checkpointed on first use and reused while the star object
+    lives, so a session asking for pairs and rules does the self-join once.
     """
-    per_star = _SHARED.get(id(star))
-    if per_star is None:
-        per_star = _SHARED[id(star)] = {}
-        weakref.finalize(star, _SHARED.pop, id(star), None)
-    if min_orders not in per_star:
-        pc = pair_counts(baskets(star), "order_id", "product_id", min_orders)
-        ensure_checkpoint_dir(pc.sparkSession)
-        per_star[min_orders] = pc.checkpoint(eager=True)
-    return per_star[min_orders]
+    return per_star(star, ("pairs", min_orders),
+                    lambda: pair_counts(baskets(star), "order_id", "product_id", min_orders))
 
 
 def _pairs(star: Star, min_orders: int) -> DataFrame:

@@ -16,6 +16,7 @@ from tillscope.functions.common import avg_money, money, month_start, round_avg_
 from tillscope.operators.joins import with_calendar
 from tillscope.operators.ntile import ntile
 from tillscope.operators.topk import top_k
+from tillscope.plans.shared import per_star
 from tillscope.sources.star import Star
 
 # LTV tier names for revenue quartiles 1..4.
@@ -78,6 +79,11 @@ def rfm_base(star: Star, as_of: F.Column | None = None) -> DataFrame:
 
 
 def rfm_scores(star: Star, best: str = "low", small: bool = False) -> DataFrame:
+    """V6: RFM quintiles and the combined score/code (shared per star; see ``_rfm_scores``)."""
+    return per_star(star, ("rfm_scores", best, small), lambda: _rfm_scores(star, best, small))
+
+
+def _rfm_scores(star: Star, best: str = "low", small: bool = False) -> DataFrame:
     """V6: RFM quintiles and the combined score/code.
 
     As in the reference, tiles are taken over recency ascending, frequency
@@ -103,6 +109,10 @@ def rfm_scores(star: Star, best: str = "low", small: bool = False) -> DataFrame:
 
 
 def _ltv_tiers(star: Star, small: bool = False) -> DataFrame:
+    return per_star(star, ("ltv_tiers", small), lambda: _build_ltv_tiers(star, small))
+
+
+def _build_ltv_tiers(star: Star, small: bool = False) -> DataFrame:
     l = ntile(_ltv(star), 4, [F.col("_total").asc()], "revenue_quartile", [F.col("customer_id").asc()], small)
     tier = None
     for i, name in enumerate(LTV_TIERS, start=1):
