@@ -27,7 +27,15 @@ RFM_ATTRS = ["customer_id", "customer_key", "first_name", "last_name", "segment"
 
 
 def _per_customer(star: Star) -> DataFrame:
-    """Completed-order figures per customer, exact (decimal sum kept as ``_total``)."""
+    """Completed-order figures per customer, exact (decimal sum kept as ``_total``).
+
+    Read by V4–V7, E3, B4–B6, B18 and the segment rows; one row per customer,
+    built once per star.
+    """
+    return per_star(star, "per_customer", lambda: _build_per_customer(star))
+
+
+def _build_per_customer(star: Star) -> DataFrame:
     o = star.completed_orders().select("order_id", "customer_id", "order_date_id", "order_total")
     o = with_calendar(star, o, "date_actual")
     return o.groupBy("customer_id").agg(

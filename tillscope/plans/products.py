@@ -17,6 +17,7 @@ from tillscope.functions.common import cents, money, round_ratio, year_month_lab
 from tillscope.operators.joins import with_calendar
 from tillscope.operators.pivot import pivot_fill
 from tillscope.operators.topk import top_k
+from tillscope.plans.shared import per_star
 from tillscope.sources.star import Star
 
 
@@ -50,7 +51,15 @@ def revenue_by_category(star: Star) -> DataFrame:
 
 
 def _margin(star: Star) -> DataFrame:
-    """Exact revenue and cost per (category, subcategory, year, month)."""
+    """Exact revenue and cost per (category, subcategory, year, month).
+
+    Read by V10, B9, B10, B16 and B17; the table is small (category-month
+    grain) and built once per star.
+    """
+    return per_star(star, "category_month", lambda: _build_margin(star))
+
+
+def _build_margin(star: Star) -> DataFrame:
     pm = _product_month(star)
     p = star.product.select("product_id", "category", "subcategory", "cost")
     j = pm.join(p, "product_id")
