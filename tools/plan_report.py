@@ -25,7 +25,9 @@ def main():
     print("Counts are taken from each query's final adaptive plan.  `SinglePartition` exchanges come")
     print("only from global aggregates after a map-side partial step (one row per task), or from")
     print("windows over bounded frames (partition offsets of the distributed NTILE, monthly totals).")
-    print("Queries that checkpoint (NTILE, pivots, basket pairs) show the plan after the checkpoint.\n")
+    print("Queries that checkpoint (NTILE, pivots, basket pairs) or read a per-star shared table show the plan after")
+    print("that table was materialised: the scans that built it ran in its own checkpoint job and do not appear")
+    print("in the query's plan (e.g. the orders scan behind the per-customer table).\n")
     print("| query | shuffles | reused | BHJ | SMJ | SinglePartition | scans | pushed status filter |")
     print("|---|---|---|---|---|---|---|---|")
     scan_rows = []
