@@ -61,9 +61,9 @@ def _rules(star: Star, min_orders: int) -> DataFrame:
     pc = pair_table(star, min_orders).select(
         F.col("item_1").alias("product_id_1"), F.col("item_2").alias("product_id_2"),
         F.col("n").alias("cooccurrence_orders"), F.col("n_1").alias("_p1"), F.col("n_2").alias("_p2"))
-    # denominator: completed orders with or without lines; one row, broadcast
-    total = star.completed_orders().agg(F.countDistinct("order_id").alias("_t"))
-    return _names(pc.crossJoin(F.broadcast(total)), star)
+    # denominator: completed orders with or without lines, a scalar subquery
+    total = star.completed_orders().agg(F.countDistinct("order_id")).scalar()
+    return _names(pc.withColumn("_t", total), star)
 
 
 def association_rules(star: Star, min_orders: int = MIN_ORDERS) -> DataFrame:

@@ -67,9 +67,8 @@ def _rfm_base(star: Star, as_of: F.Column | None = None) -> DataFrame:
     base = star.customer.select(*RFM_ATTRS).join(per, "customer_id")
     if as_of is None:
         # recency is measured from the end of the calendar dimension: one
-        # global max, joined as a single row (the broadcast holds one row)
-        end = star.date.agg(F.max("date_actual").alias("_as_of"))
-        base = base.crossJoin(F.broadcast(end))
+        # global max, evaluated once as a scalar subquery
+        base = base.withColumn("_as_of", star.date.agg(F.max("date_actual")).scalar())
     else:
         base = base.withColumn("_as_of", as_of)
     return base.select(

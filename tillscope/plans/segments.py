@@ -27,14 +27,15 @@ FEATURES = ["recency_days", "frequency", "monetary_value"]
 
 def standardize(df: DataFrame, cols: list[str], suffix: str = "_z") -> DataFrame:
     """z = (x − mean) / population std; a constant column gives 0."""
-    stats = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"_m_{c}") for c in cols],
-                   *[F.stddev_pop(F.col(c).cast("double")).alias(f"_s_{c}") for c in cols])
-    j = df.crossJoin(F.broadcast(stats))
-    out = j
+    # one global aggregate per statistic, as scalar subqueries over the same
+    # input; Catalyst merges them into a single aggregate pass
+    out = df
     for c in cols:
-        z = F.when(F.col(f"_s_{c}") > 0, (F.col(c).cast("double") - F.col(f"_m_{c}")) / F.col(f"_s_{c}")).otherwise(0.0)
-        out = out.withColumn(f"{c}{suffix}", z)
-    return out.drop(*[f"_m_{c}" for c in cols], *[f"_s_{c}" for c in cols])
+        x = F.col(c).cast("double")
+        mean = df.agg(F.avg(x)).scalar()
+        std = df.agg(F.stddev_pop(x)).scalar()
+        out = out.withColumn(f"{c}{suffix}", F.when(std > 0, (x - mean) / std).otherwise(0.0))
+    return out
 
 
 def standardized_features(star: Star, digits: int | None = 6) -> DataFrame:
