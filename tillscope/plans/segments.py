@@ -1,8 +1,8 @@
 """RFM standardisation and k-means segments: M1–M5.
 
-Features are the per-customer RFM base (V5).  Standardisation uses one
-global mean / population-std aggregate joined back as a single broadcast
-row.  K-means is Spark ML's distributed KMeans, fitted ``n_init`` times
+Features are the per-customer RFM base (V5).  Standardisation reads the
+global means and population standard deviations as scalar subqueries, which
+Catalyst merges into one aggregate pass.  K-means is Spark ML's distributed KMeans, fitted ``n_init`` times
 with different seeds on a checkpointed feature table (so the fits do not
 recompute the order aggregation); the fit with the least within-cluster
 cost is kept.  Cluster labels are renumbered 0..k-1 by descending mean
