@@ -89,3 +89,13 @@ def test_kmeans_inertia_close_to_brute_force(spark):
             centers = new
         best = min(best, ((x - centers[lab]) ** 2).sum())
     assert ours <= best * 1.10
+
+
+def test_status_predicates_reach_the_scan(spark):
+    s = driver_star(spark, SMOKE)
+    for status, code in (("Completed", "F"), ("Cancelled", "P")):
+        df = s.orders_with_status(status).select("order_id")
+        plan = spark.sparkContext._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+        assert f"EqualTo(o_orderstatus,{code})" in plan
+        assert df.count() == s.orders.where(F.col("order_status") == status).count()
+    assert s.orders_with_status("Unknown").count() == 0
