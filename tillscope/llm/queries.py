@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillscope.llm import byte_bpe, language_id, packing, url_rules
+from tillscope.llm import byte_bpe, language_id, packing, secret_scan, url_rules
 from tillscope.llm.common import crc_mod, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,16 @@ URL_RULES = [
 ]
 
 
+def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan_documents(read_table(spark, sf_dir, "documents"))
+    of = lambda *kinds: secret_scan.of_kinds(F.col("findings"), list(kinds))
+    counts = [F.size(of(k)).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")]
+    base = secret_scan.spans_text(of("assign", "access", "hex"))
+    return found.select(
+        F.col("path").alias("doc_id"), *counts, F.sha2(base, 256).alias("base_sha256"),
+        secret_scan.spans_text(F.col("findings")).alias("spans"))
+
+
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.sql("SELECT * FROM VALUES " + ", ".join(map(str, URL_RULES)) + " AS r(host, path, verdict)")
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
@@ -50,6 +60,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_secret_scans": op1_secret_scans,
         "op5_url_filters": op5_url_filters,
         "op6_language_id": op6_language_id,
         "op9_byte_bpe": op9_byte_bpe,
@@ -58,7 +69,39 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_url_filters": OP5_SQL}
+    return {"op1_secret_scans": _op1_sql(), "op5_url_filters": OP5_SQL}
+
+
+def _op1_sql() -> str:
+    """Each kind's matches and the pieces between them give the spans; no ledger, every row on its own."""
+    kinds = []
+    for i, r in enumerate(secret_scan.RULES):
+        pattern = r.pattern.replace("'", "''")
+        kinds.append(f"""
+  SELECT n, '{r.kind}' AS kind, {i} AS ord,
+         string_split_regex(text, '{pattern}') AS p, regexp_extract_all(text, '{pattern}', 0) AS m,
+         regexp_extract_all(text, '{pattern}', {r.group}) AS g, {r.least} AS least
+  FROM docs WHERE regexp_matches(text, '{pattern}')""")
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS n, doc_id, coalesce(text, '') AS text FROM documents),
+hits AS ({" UNION ALL ".join(kinds)}),
+cut AS (
+  SELECT n, kind, ord, least, unnest(range(1, len(m) + 1)) AS i, p, m, g FROM hits
+), spans AS (
+  SELECT n, kind, ord, sum(length(p[i]) + length(m[i])) OVER (PARTITION BY n, kind ORDER BY i) AS stop,
+         length(m[i]) AS size, length(g[i]) >= least AS good
+  FROM cut
+), joined AS (
+  SELECT n, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+         count(*) FILTER (kind = 'hex') AS n_hex,
+         string_agg(kind || ':' || (stop - size) || ':' || stop, ',' ORDER BY stop - size, ord) FILTER (ord < 3) AS base,
+         string_agg(kind || ':' || (stop - size) || ':' || stop, ',' ORDER BY stop - size, ord) AS spans
+  FROM spans WHERE good GROUP BY n
+)
+SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access,
+       coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN joined USING (n)
+"""
 
 
 OP5_SQL = f"""
