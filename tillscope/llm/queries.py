@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillscope.llm import byte_bpe, language_id, packing, secret_scan, url_rules
+from tillscope.llm import byte_bpe, language_id, packing, quality_rules, secret_scan, url_rules
 from tillscope.llm.common import crc_mod, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,11 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (crc_mod(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score", "margin", "rejected")
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(read_table(spark, sf_dir, "documents"), ["doc_id"]).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip_digests(
         read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
@@ -63,6 +68,7 @@ def queries() -> dict[str, Query]:
         "op1_secret_scans": op1_secret_scans,
         "op5_url_filters": op5_url_filters,
         "op6_language_id": op6_language_id,
+        "op7_quality_rules": op7_quality_rules,
         "op9_byte_bpe": op9_byte_bpe,
         "op10_packing": op10_packing,
     }
