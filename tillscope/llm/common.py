@@ -66,3 +66,31 @@ def slices(batch: pa.RecordBatch, column: str, chars: int = 8_000_000):
         total += size
     if start < len(sizes):
         yield batch.slice(start, len(sizes) - start)
+
+
+def summed_blocks(parts: DataFrame, dtype: str, block_items: int, salts: int = 8):
+    """Element-wise sum of equally long arrays that tasks emit in blocks.
+
+    ``parts`` has ``block`` (int) and ``data`` (binary, ``block_items`` items of
+    ``dtype``).  Blocks are added up in streams, dealt by (block, salt), so a
+    task holds a few sums however many parts there are; the driver gets at most
+    ``salts`` partial sums a block.  Returns block to sum.
+    """
+    import numpy as np
+
+    def add(batches):
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, data in zip(batch["block"].to_pylist(), batch["data"].to_pylist(), strict=True):
+                values = np.frombuffer(data, dtype)
+                sums[block] = sums[block] + values if block in sums else values
+        yield pa.RecordBatch.from_pydict(
+            {"block": list(sums), "data": [v.tobytes() for v in sums.values()]},
+            schema=pa.schema([("block", pa.int32()), ("data", pa.binary())]))
+
+    dealt = parts.withColumn("salt", F.spark_partition_id() % salts).repartition("block", "salt").select("block", "data")
+    out: dict[int, np.ndarray] = {}
+    for row in dealt.mapInArrow(add, "block int, data binary").collect():  # salts sums a block
+        values = np.frombuffer(bytes(row.data), dtype)
+        out[row.block] = out[row.block] + values if row.block in out else values
+    return {k: out.get(k, np.zeros(block_items, dtype)) for k in range(max(out, default=-1) + 1)}

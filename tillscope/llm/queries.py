@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillscope.llm import byte_bpe, language_id, packing, quality_rules, secret_scan, url_rules
+from tillscope.llm import byte_bpe, language_id, maxent_lm, packing, quality_rules, secret_scan, url_rules
 from tillscope.llm.common import crc_mod, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,13 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
         secret_scan.spans_text(F.col("findings")).alias("spans"))
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = crc_mod(F.col("doc_id"), 7) == 2
+    model, counts = maxent_lm.fit(docs.where(~held_out))
+    return maxent_lm.score_texts(docs, model, counts, ["doc_id"]).withColumn("held_out", held_out)
+
+
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.sql("SELECT * FROM VALUES " + ", ".join(map(str, URL_RULES)) + " AS r(host, path, verdict)")
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
@@ -66,6 +73,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_secret_scans": op1_secret_scans,
+        "op3_lm_scoring": op3_lm_scoring,
         "op5_url_filters": op5_url_filters,
         "op6_language_id": op6_language_id,
         "op7_quality_rules": op7_quality_rules,
