@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillscope.llm import byte_bpe, language_id, maxent_lm, packing, quality_rules, secret_scan, url_rules
+from tillscope.llm import byte_bpe, language_id, maxent_lm, packing, quality_rules, secret_scan, toxicity, url_rules
 from tillscope.llm.common import crc_mod, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,14 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
         secret_scan.spans_text(F.col("findings")).alias("spans"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = crc_mod(F.col("doc_id"), 3) == 1
+    model = toxicity.fit(docs, read_table(spark, sf_dir, "labels").where(~held_out))
+    return toxicity.score(docs, model, ["doc_id"]).select(
+        "doc_id", held_out.alias("held_out"), "score", F.col("rejected").cast("int").alias("predicted"), "hits")
+
+
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = crc_mod(F.col("doc_id"), 7) == 2
@@ -73,6 +81,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_secret_scans": op1_secret_scans,
+        "op2_toxicity": op2_toxicity,
         "op3_lm_scoring": op3_lm_scoring,
         "op5_url_filters": op5_url_filters,
         "op6_language_id": op6_language_id,
