@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillscope.llm import byte_bpe, language_id, maxent_lm, packing, quality_rules, secret_scan, toxicity, url_rules
+from tillscope.llm import byte_bpe, language_id, maxent_lm, ngram_join, packing, quality_rules, secret_scan, toxicity, url_rules
 from tillscope.llm.common import crc_mod, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +48,10 @@ def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxent_lm.score_texts(docs, model, counts, ["doc_id"]).withColumn("held_out", held_out)
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(read_table(spark, sf_dir, "documents"), n=4, share=85)
+
+
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.sql("SELECT * FROM VALUES " + ", ".join(map(str, URL_RULES)) + " AS r(host, path, verdict)")
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
@@ -83,6 +87,7 @@ def queries() -> dict[str, Query]:
         "op1_secret_scans": op1_secret_scans,
         "op2_toxicity": op2_toxicity,
         "op3_lm_scoring": op3_lm_scoring,
+        "op4_ngram_join": op4_ngram_join,
         "op5_url_filters": op5_url_filters,
         "op6_language_id": op6_language_id,
         "op7_quality_rules": op7_quality_rules,
