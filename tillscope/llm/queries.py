@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillscope.llm import byte_bpe, language_id, maxent_lm, ngram_join, packing, quality_rules, secret_scan, toxicity, url_rules
+from tillscope.llm import byte_bpe, hnsw, language_id, maxent_lm, ngram_join, packing, quality_rules, secret_scan, toxicity, url_rules
 from tillscope.llm.common import crc_mod, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +70,12 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
 
 
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = hnsw.valid_vectors(read_table(spark, sf_dir, "embeddings"))
+    index = hnsw.build_index(vectors, copies=21)  # a query's own id and 20 more
+    return hnsw.nearest(vectors.where(F.col("id") % 20 == 0), index, k=20)
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip_digests(
         read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
@@ -91,6 +97,7 @@ def queries() -> dict[str, Query]:
         "op5_url_filters": op5_url_filters,
         "op6_language_id": op6_language_id,
         "op7_quality_rules": op7_quality_rules,
+        "op8_nearest_neighbours": op8_nearest_neighbours,
         "op9_byte_bpe": op9_byte_bpe,
         "op10_packing": op10_packing,
     }
