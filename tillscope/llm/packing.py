@@ -10,9 +10,8 @@ position, so that no document, source or group of copies fills one group, and
 groups are packed independently.
 
 Words repeat far more often than they change, so a worker keeps the ids of
-words it has met (``CACHE_WORDS`` at most, then it starts afresh); cutting at
-spaces and line ends is safe for tokenizers whose pre-tokenizer drops white
-space (checked against whole-text encoding in the tests).
+words it has met (``CACHE_WORDS`` at most, then it starts afresh); the tests
+check this against encoding whole texts.
 
 Defined cases: a null or empty text is the end id alone; repeated rows are
 packed each; a null id stays null; an empty table gives no pieces; ties in
@@ -65,29 +64,58 @@ def first_fit_decreasing(lengths: list[int], seq_len: int) -> list[tuple[int, in
     return [(s, seq_len - room) for s, room in map(tree.take, lengths)]
 
 
-class _WordIds(dict):
-    """Word to its ids as little-endian uint32 bytes, filled by the tokenizer when a word is new."""
+def _byte_letters() -> dict[int, str]:
+    """Byte-level alphabet: printable Latin-1 bytes stand for themselves, the others for U+0100 and up, in order."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [x for x in range(0x100) if x not in printable]
+    return {x: chr(x) for x in printable} | {x: chr(0x100 + i) for i, x in enumerate(others)}
+
+
+class WordIds(dict):
+    """Word (A-Z lower-cased, UTF-8) to its ids as little-endian uint32 bytes, filled by the tokenizer when a word is new.
+
+    For a tokenizer that lower-cases, drops white space and splits letters from
+    everything else.  A word ending in a comma or full stop after a letter is
+    the word and the mark; a word of small Latin letters is one pre-token, so
+    the tokenizer's model alone gives its ids; the rest goes through the whole
+    tokenizer.  Texts that may hold a special token's string go through it whole.
+    """
 
     def __init__(self, tokenizer_json: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-
-    def __missing__(self, word: str) -> bytes:
-        ids = np.asarray(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        self.model = self.tokenizer.model
+        self.letters = _byte_letters()
+        self.marks = sorted({x.content[:2] for x in self.tokenizer.get_added_tokens_decoder().values()})
+
+    def encode(self, text: str) -> bytes:
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def __missing__(self, word: bytes) -> bytes:
+        text = word.decode()
+        if len(text) > 1 and text[-1] in ",." and text[-2].lower().isalpha():
+            ids = self[word[:-1]] + self[word[-1:]]
+        elif text.isalpha() and text == text.lower() and max(text) < "\u0250":
+            letters = "".join([self.letters[x] for x in word])
+            ids = np.asarray([t.id for t in self.model.tokenize(letters)], "<u4").tobytes()
+        else:
+            ids = self.encode(text)
         self[word] = ids
         return ids
 
     def text_ids(self, text: str | None) -> bytes:
         if not text:
             return b""
+        if any(mark in text for mark in self.marks):
+            return self.encode(text)
         if len(self) > CACHE_WORDS:
             self.clear()
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+        return b"".join(map(self.__getitem__, text.encode().lower().replace(b"\n", b" ").split(b" ")))
 
 
-_WORKER: dict[int, _WordIds] = {}
+_WORKER: dict[int, WordIds] = {}
 
 
 def cut_documents(docs: DataFrame, tokenizer_path: str, seq_len: int, end_id: int, id_col: str, text_col: str) -> DataFrame:
@@ -100,7 +128,7 @@ def cut_documents(docs: DataFrame, tokenizer_path: str, seq_len: int, end_id: in
     def cut(batches):
         words = _WORKER.get(digest)
         if words is None:
-            words = _WORKER[digest] = _WordIds(model.value)
+            words = _WORKER[digest] = WordIds(model.value)
         end = np.asarray([end_id], "<u4").tobytes()
         step = 4 * seq_len
         for batch in batches:
