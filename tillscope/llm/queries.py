@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -100,11 +101,13 @@ def queries() -> dict[str, Query]:
         "op8_nearest_neighbours": op8_nearest_neighbours,
         "op9_byte_bpe": op9_byte_bpe,
         "op10_packing": op10_packing,
+        "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_secret_scans": _op1_sql(), "op5_url_filters": OP5_SQL}
+    sql = {"op1_secret_scans": _op1_sql(), "op5_url_filters": OP5_SQL}
+    return sql | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
 
 
 def _op1_sql() -> str:
