@@ -33,7 +33,7 @@ from tillscope.llm.common import crc_mod, read_table, written
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = read_table(spark, sf_dir, "labels").where(crc_mod(F.col("doc_id"), 3) != 1)
     model = toxicity.fit(docs, labels)
-    return toxicity.score(docs, model, docs.columns).where("not rejected").select(*docs.columns)
+    return toxicity.score(docs, model, docs.columns, prefix="_toxic_").where("not _toxic_rejected").select(*docs.columns)
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -361,8 +361,10 @@ def _logistic(x: np.ndarray, y: np.ndarray, steps: int = 30, hold: float = 0.01)
     return beta.tolist()
 
 
-def score(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text", threshold: float = 0.7) -> DataFrame:
-    """``keep`` columns with ``score``, ``rejected`` (score >= threshold), ``largest`` and summed ``weight``, and ``hits`` of each row."""
+def score(
+    docs: DataFrame, model: Model, keep: list[str], text_col: str = "text", threshold: float = 0.7, prefix: str = ""
+) -> DataFrame:
+    """``keep`` columns, then, their names led by ``prefix`` (set one if ``keep`` has such names), ``score``, ``rejected`` (score >= threshold), ``largest`` and summed ``weight``, and ``hits`` of each row."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     kept = [f"k{i}" for i in range(len(keep))]
 
@@ -390,4 +392,5 @@ def score(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text"
         schema = schema.add(name, kind)
     out = rows.mapInArrow(run, schema)
     return out.select(
-        *[F.col(k).alias(c) for c, k in zip(keep, kept, strict=True)], "score", "rejected", "largest", "weight", "hits")
+        *[F.col(k).alias(c) for c, k in zip(keep, kept, strict=True)],
+        *[F.col(x).alias(prefix + x) for x in ("score", "rejected", "largest", "weight", "hits")])
