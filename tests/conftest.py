@@ -8,7 +8,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from tillscope.session import local_session  # noqa: E402
-from tillscope.sources.dims import build_dim_channel, build_dim_date, dim_date_rows  # noqa: E402
+from tillscope.sources.dims import build_dim_channel, build_dim_date  # noqa: E402
 from tillscope.sources.schema import SCHEMAS  # noqa: E402
 from tillscope.sources.star import Star  # noqa: E402
 
@@ -42,7 +42,7 @@ def order(order_id, customer_id, day, total, status="Completed", channel_id=1):
 
 
 def item(item_id, order_id, product_id, qty, line_total):
-    return {"order_item_id": item_id, "order_id": order_id, "product_id": product_id, "quantity": qty,
+    return {"order_item_id": Decimal(item_id), "order_id": order_id, "product_id": product_id, "quantity": qty,
             "unit_price": D(line_total / qty if qty else 0), "unit_discount": D(0), "line_subtotal": D(line_total),
             "line_discount_total": D(0), "line_total": D(line_total)}
 
@@ -66,5 +66,4 @@ def make_star(spark, customers, products, orders, items, start=dt.date(2020, 1,
         channel=build_dim_channel(spark),
         orders=_frame(spark, "fact_order", orders),
         items=_frame(spark, "fact_order_item", items),
-        row_bounds={"dim_date": dim_date_rows(start, end), "dim_channel": 8},
     )

@@ -142,8 +142,10 @@ def test_attach_date_key_and_cascade(spark, star):
     cal = build_dim_date(spark, d(2020, 1, 1), d(2020, 1, 31))
     df = spark.createDataFrame([(d(2020, 1, 2),)], "x date")
     assert attach_date_key(df, cal, "x").collect()[0]["date_id"] == 20200102
-    with pytest.raises(ValueError):
-        attach_date_key(spark.createDataFrame([(d(2021, 1, 2),)], "x date"), cal, "x")
+    late = spark.createDataFrame([(d(2021, 1, 2),)], "x date")
+    with pytest.raises(Exception, match="outside the calendar"):
+        attach_date_key(late, cal, "x").collect()
+    assert attach_date_key(late, cal, "x", strict=False).collect()[0]["date_id"] is None
     o, i = cascade_delete(star.orders, star.items, star.orders.where(F.col("order_status") == "Cancelled"))
     assert o.count() == 5 and i.where(F.col("order_id") == 103).count() == 0 and i.count() == 9
 

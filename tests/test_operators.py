@@ -60,7 +60,7 @@ def test_pairs_match_brute_force_including_hot_basket(spark):
 def test_pivot_fill_drops_null_keys_and_fills_zero(spark):
     df = spark.createDataFrame([("a", 1, 2.0), ("a", 2, 4.0), ("b", 2, 1.0), (None, 1, 9.0), ("c", None, 3.0)],
                                "k string, m int, v double")
-    rows = {r["k"]: (r["1"], r["2"]) for r in pivot_fill(df, "k", "m", "v").collect()}
+    rows = {r["k"]: (r["1"], r["2"]) for r in pivot_fill(df, "k", "m", "v", [1, 2]).collect()}
     assert rows == {"a": (2.0, 4.0), "b": (0.0, 1.0)}
 
 
@@ -73,3 +73,18 @@ def test_ntile_default_partitioning_with_coalescing(spark):
         assert sorted(got.select("id", "t").collect()) == sorted(want.select("id", "t").collect())
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_tiles_by_cuts_equal_window_tiles(spark):
+    from pyspark.sql import Window
+
+    from tillscope.operators.ntile import tiles_by_cuts
+
+    rows = [(i, None if i % 17 == 0 else i * 7919 % 13, i % 3) for i in range(101)]
+    for n in (0, 1, 3, 4, 101):
+        df = spark.createDataFrame(rows[:n], "id long, v long, w int")
+        for up in (True, False):
+            got = tiles_by_cuts(df, 4, [("v", up), ("id", True)], "t").select("id", "t").collect()
+            order = [F.col("v").asc() if up else F.col("v").desc(), F.col("id").asc()]
+            want = df.withColumn("t", F.ntile(4).over(Window.orderBy(*order))).select("id", "t").collect()
+            assert sorted(map(tuple, got)) == sorted(map(tuple, want))

@@ -5,8 +5,9 @@ import math
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from conftest import SMOKE
+from tillscope.registry import oracle_sql, queries
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
 SLOW = {"kmeans_segments", "cluster_sizes", "cluster_summary", "cluster_points"}
@@ -50,7 +51,8 @@ def test_every_query_has_oracle_or_is_iterative():
 def test_query_matches_oracle(spark, duck, name):
     df = queries()[name](spark, SMOKE)
     srows = [r.asDict() for r in df.collect()]
-    rel = duck.sql(oracle_sql()[name])
+    duck.execute(f"CREATE OR REPLACE VIEW oracle AS {oracle_sql()[name]}")  # as the statement must work inside a view
+    rel = duck.sql("SELECT * FROM oracle")
     drows = [dict(zip(rel.columns, r)) for r in rel.fetchall()]
     assert sorted(df.columns) == sorted(rel.columns)
     assert len(srows) == len(drows)

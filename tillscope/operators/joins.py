@@ -1,10 +1,7 @@
-"""Join helpers: broadcast only behind a proven size bound.
+"""Join helpers.
 
-A dimension is broadcast when its row count is bounded by construction
-(``Star.row_bounds``: the generated calendar, the static channel list) and
-that bound is below ``MAX_BROADCAST_ROWS``.  Any other table is joined
-without a hint; AQE then picks broadcast or sort-merge from the sizes it
-measures at run time (``spark.sql.adaptive.autoBroadcastJoinThreshold``).
+No join carries a broadcast hint: Spark's size estimates and the adaptive
+planner choose from bytes, and a dimension that has grown is shuffled.
 """
 
 from __future__ import annotations
@@ -14,23 +11,14 @@ from pyspark.sql import functions as F
 
 from tillscope.sources.star import Star
 
-MAX_BROADCAST_ROWS = 2_000_000
-
-
-def broadcast_if_bounded(df: DataFrame, bound: int | None) -> DataFrame:
-    """``df`` with a broadcast hint iff ``bound`` (a proven row-count bound) is small enough."""
-    if bound is not None and bound <= MAX_BROADCAST_ROWS:
-        return F.broadcast(df)
-    return df
-
-
-def bounded(star: Star, table: str, df: DataFrame | None = None) -> DataFrame:
-    """``df`` (default: the star table) with a broadcast hint iff its size is proven small."""
-    frame = star.table(table) if df is None else df
-    return broadcast_if_bounded(frame, star.row_bounds.get(table))
-
 
 def with_calendar(star: Star, orders: DataFrame, *cols: str) -> DataFrame:
-    """Attach calendar columns to order rows by ``order_date_id = date_id`` (inner join)."""
-    dates = bounded(star, "dim_date", star.date.select("date_id", *cols))
-    return orders.join(dates, orders["order_date_id"] == dates["date_id"]).drop("date_id")
+    """Attach calendar columns to order rows by ``order_date_id = date_id``.
+
+    An order date without a calendar row fails the query, as the foreign key
+    of the warehouse would: dropping the order silently would change totals.
+    """
+    dates = star.date.select("date_id", *cols)
+    joined = orders.join(dates, orders["order_date_id"] == dates["date_id"], "left")
+    problem = F.concat(F.lit("order date without a calendar row: "), F.coalesce(F.col("order_date_id").cast("string"), F.lit("NULL")))
+    return joined.where(F.when(F.col("date_id").isNotNull(), F.lit(True)).otherwise(F.raise_error(problem).cast("boolean"))).drop("date_id")

@@ -91,3 +91,39 @@ def ntile(df: DataFrame, k: int, order: list[Column], out: str, tie: list[Column
     pos, total = "_nt_pos", "_nt_total"
     ranked = global_position(df, keys, pos, partitions, total_col=total)
     return ranked.withColumn(out, tile_of(pos, total, k)).drop(pos, total)
+
+
+def tiles_by_cuts(df: DataFrame, k: int, keys: list[tuple[str, bool]], out: str) -> DataFrame:
+    """Add ``out`` = NTILE(k) over ``keys``, (column, ascending) pairs that order the rows totally.
+
+    Only the key columns are ranked (in parallel, as above); the k - 1 keys at
+    which a tile begins come to the driver, and each row's tile follows from
+    comparing its own key with them, so wide rows are neither sorted nor kept.
+    NULLs sort first ascending and last descending, as in ``orderBy``.
+    """
+    names = [name for name, _ in keys]
+    order = [F.col(name).asc() if up else F.col(name).desc() for name, up in keys]
+    ranked = global_position(df.select(*names), order, "_nt_pos", total_col="_nt_total")
+    total = ranked.select("_nt_total").first()
+    n = total[0] if total else 0
+    starts = sorted({t * (n // k) + min(t, n % k) for t in range(1, k)} - {0, n})
+    cuts = {r["_nt_pos"]: r for r in ranked.where(F.col("_nt_pos").isin(starts)).collect()} if starts else {}
+    types = {f.name: f.dataType for f in df.select(*names).schema}
+
+    def reached(cut) -> Column:
+        """The row's key is the cut's or comes after it."""
+        result = F.lit(True)
+        for name, up in reversed(keys):
+            own, at = F.col(name), F.lit(cut[name]).cast(types[name])
+            beyond = own > at if up else own < at
+            if cut[name] is None:
+                beyond = own.isNotNull() if up else F.lit(False)
+            elif not up:
+                beyond = beyond | own.isNull()
+            result = F.coalesce(beyond, F.lit(False)) | (own.eqNullSafe(at) & result)
+        return result
+
+    tile = F.lit(1)
+    for start in starts:
+        tile = tile + reached(cuts[start]).cast("int")
+    return df.withColumn(out, tile.cast("int"))

@@ -5,26 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillscope.session import ensure_checkpoint_dir
 
-
-def pivot_fill(df: DataFrame, index: str, columns: str, values: str, fill: float = 0.0,
-               pivot_values: list | None = None) -> DataFrame:
-    """One row per ``index``, one column per distinct ``columns`` value (sorted), mean of ``values``.
+def pivot_fill(df: DataFrame, index: str, columns: str, values: str, pivot_values: list, fill: float = 0.0) -> DataFrame:
+    """One row per ``index``, one column per value of ``pivot_values``, mean of ``values``.
 
     Rows with a NULL index or column key are dropped and missing cells are
-    ``fill``.  The pivot values are the distinct keys of the (already
-    aggregated, small) input unless given; only that short list reaches the
-    driver.  Result columns are named by the key's string form.
+    ``fill``.  Result columns are named by the key's string form.
     """
     keyed = df.where(F.col(index).isNotNull() & F.col(columns).isNotNull())
-    if pivot_values is None:
-        # the input is an aggregate bounded by its keys (e.g. category × month):
-        # materialise it once in the checkpoint folder, so reading the key list
-        # and pivoting do not both re-run the plan that produced it
-        ensure_checkpoint_dir(df.sparkSession)
-        keyed = keyed.checkpoint(eager=True)
-        pivot_values = sorted(r[0] for r in keyed.select(columns).distinct().collect())
     wide = keyed.groupBy(index).pivot(columns, pivot_values).agg(F.avg(values))
-    names = [str(v) for v in pivot_values]
-    return wide.na.fill(fill, subset=names).orderBy(index)
+    return wide.na.fill(fill, subset=[str(v) for v in pivot_values]).orderBy(index)
+
+
+def sorted_values(df: DataFrame, column: str) -> DataFrame:
+    """The distinct non-NULL values of a column in order, as a one-column table."""
+    return df.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column)

@@ -62,7 +62,7 @@ def _rules(star: Star, min_orders: int) -> DataFrame:
         F.col("item_1").alias("product_id_1"), F.col("item_2").alias("product_id_2"),
         F.col("n").alias("cooccurrence_orders"), F.col("n_1").alias("_p1"), F.col("n_2").alias("_p2"))
     # denominator: completed orders with or without lines, a scalar subquery
-    total = star.completed_orders().agg(F.countDistinct("order_id")).scalar()
+    total = star.completed_orders().agg(F.count("order_id")).scalar()
     return _names(pc.withColumn("_t", total), star)
 
 

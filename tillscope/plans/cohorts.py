@@ -48,11 +48,15 @@ def cohort_retention(star: Star) -> DataFrame:
 def cohort_retention_curve(star: Star) -> DataFrame:
     """Cohort month, month offset and retention %, sorted."""
     v = cohort_retention(star)
-    return v.select("cohort_month", "months_since_cohort_start", "retention_percent").orderBy(
+    label = F.date_format("cohort_month", "yyyy-MM").alias("cohort_label")  # X11
+    return v.select("cohort_month", label, "months_since_cohort_start", "retention_percent").orderBy(
         "cohort_month", "months_since_cohort_start")
 
 
 def cohort_matrix(star: Star) -> DataFrame:
-    """B7 pivoted — one row per cohort, one column per month offset present, 0 where missing."""
+    """B7 pivoted: one row per cohort, one column per month offset that the calendar admits, 0 where missing."""
     curve = cohort_retention(star).select("cohort_month", "months_since_cohort_start", "retention_percent")
-    return pivot_fill(curve, index="cohort_month", columns="months_since_cohort_start", values="retention_percent")
+    months = F.col("year") * 12 + F.col("month")
+    span = star.date.agg(F.max(months) - F.min(months)).first()[0]  # one number
+    return pivot_fill(curve, index="cohort_month", columns="months_since_cohort_start", values="retention_percent",
+                      pivot_values=list(range((span or 0) + 1)))

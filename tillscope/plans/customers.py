@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 
 from tillscope.functions.common import avg_money, money, month_start, round_avg_money, round_ratio
 from tillscope.operators.joins import with_calendar
-from tillscope.operators.ntile import ntile
+from tillscope.operators.ntile import ntile, tiles_by_cuts
 from tillscope.operators.topk import top_k
 from tillscope.plans.shared import per_star
+from tillscope.session import ensure_checkpoint_dir
 from tillscope.sources.star import Star
 
 # LTV tier names for revenue quartiles 1..4.
@@ -100,9 +101,16 @@ def _rfm_scores(star: Star, best: str = "low", small: bool = False) -> DataFrame
     """
     b = _rfm_base(star)
     tie = [F.col("customer_id").asc()]
-    b = ntile(b, 5, [F.col("recency_days").asc()], "recency_score", tie, small)
-    b = ntile(b, 5, [F.col("frequency").desc()], "frequency_score", tie, small)
-    b = ntile(b, 5, [F.col("_total").desc()], "monetary_score", tie, small)
+    if small:
+        b = ntile(b, 5, [F.col("recency_days").asc()], "recency_score", tie, small)
+        b = ntile(b, 5, [F.col("frequency").desc()], "frequency_score", tie, small)
+        b = ntile(b, 5, [F.col("_total").desc()], "monetary_score", tie, small)
+    else:  # the figures are computed once; each score then ranks two narrow columns
+        ensure_checkpoint_dir(b.sparkSession)
+        b = b.checkpoint(eager=True)
+        b = tiles_by_cuts(b, 5, [("recency_days", True), ("customer_id", True)], "recency_score")
+        b = tiles_by_cuts(b, 5, [("frequency", False), ("customer_id", True)], "frequency_score")
+        b = tiles_by_cuts(b, 5, [("_total", False), ("customer_id", True)], "monetary_score")
     if best == "high":
         for c in ("recency_score", "frequency_score", "monetary_score"):
             b = b.withColumn(c, (6 - F.col(c)).cast("int"))
@@ -120,7 +128,12 @@ def _ltv_tiers(star: Star, small: bool = False) -> DataFrame:
 
 
 def _build_ltv_tiers(star: Star, small: bool = False) -> DataFrame:
-    l = ntile(_ltv(star), 4, [F.col("_total").asc()], "revenue_quartile", [F.col("customer_id").asc()], small)
+    l = _ltv(star)
+    if small:
+        l = ntile(l, 4, [F.col("_total").asc()], "revenue_quartile", [F.col("customer_id").asc()], small)
+    else:
+        ensure_checkpoint_dir(l.sparkSession)
+        l = tiles_by_cuts(l.checkpoint(eager=True), 4, [("_total", True), ("customer_id", True)], "revenue_quartile")
     tier = None
     for i, name in enumerate(LTV_TIERS, start=1):
         cond = F.col("revenue_quartile") == i
@@ -153,9 +166,11 @@ def signup_cohorts(star: Star) -> DataFrame:
     o = star.completed_orders().select("order_id", "customer_id", "order_date_id", "order_total")
     o = with_calendar(star, o, "year", "month")
     c = star.customer.select("customer_id", month_start("created_date").alias("cohort_month"))
-    j = o.join(c, "customer_id")
-    g = j.groupBy("cohort_month", "year", "month").agg(
-        F.countDistinct("order_id").alias("orders"), money(F.sum("order_total")).alias("revenue"))
+    # order ids are the primary key, so a count is a distinct count, and each
+    # customer's months can be summed up before they meet the customer table
+    per = o.groupBy("customer_id", "year", "month").agg(F.count("order_id").alias("_n"), F.sum("order_total").alias("_total"))
+    g = per.join(c, "customer_id").groupBy("cohort_month", "year", "month").agg(
+        F.sum("_n").alias("orders"), money(F.sum("_total")).alias("revenue"))
     return g.orderBy(F.col("cohort_month").asc_nulls_last(), "year", "month")
 
 

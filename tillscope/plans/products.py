@@ -40,13 +40,16 @@ def _product_month(star: Star) -> DataFrame:
 
 def revenue_by_category(star: Star) -> DataFrame:
     """V3: line revenue, units and distinct orders per (category, subcategory, year, month)."""
+    # one row per (order, group) while the lines are still together by order:
+    # distinct orders are then a count, and no order id is shuffled by group
     lines = completed_lines(star, "year", "month")
     p = star.product.select("product_id", "category", "subcategory")
-    j = lines.join(p, "product_id")
-    return j.groupBy("category", "subcategory", "year", "month").agg(
-        money(F.sum("line_total")).alias("line_revenue"),
-        F.sum("quantity").cast("long").alias("units_sold"),
-        F.countDistinct("order_id").alias("orders_with_category"),
+    per_order = lines.join(p, "product_id").groupBy("order_id", "category", "subcategory", "year", "month").agg(
+        F.sum("line_total").alias("_rev"), F.sum("quantity").alias("_qty"))
+    return per_order.groupBy("category", "subcategory", "year", "month").agg(
+        money(F.sum("_rev")).alias("line_revenue"),
+        F.sum("_qty").cast("long").alias("units_sold"),
+        F.count(F.lit(1)).alias("orders_with_category"),
     )
 
 
@@ -141,6 +144,6 @@ def category_seasonality(star: Star) -> DataFrame:
 
 
 def seasonality_matrix(star: Star) -> DataFrame:
-    """B16 pivoted to one row per category and one column per month present; 0 where missing."""
+    """B16 pivoted to one row per category and one column per calendar month 1..12; 0 where missing."""
     s = category_seasonality(star)
-    return pivot_fill(s, index="category", columns="month", values="total_revenue")
+    return pivot_fill(s, index="category", columns="month", values="total_revenue", pivot_values=list(range(1, 13)))

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillscope.plans.customers import rfm_features
+from tillscope.plans.shared import per_star
 from tillscope.session import ensure_checkpoint_dir
 from tillscope.sources.star import Star
 
@@ -46,9 +47,17 @@ def standardized_features(star: Star, digits: int | None = 6) -> DataFrame:
     return z.select("customer_id", *cols)
 
 
-def kmeans_segments(star: Star, k: int = 4, seed: int = 42, n_init: int = 10, max_iter: int = 300,
-                    tol: float = 1e-4, parallel_fits: int = 5) -> DataFrame:
-    """M2: customer_id, the three features and a cluster label 0..k-1 (0 = highest mean monetary)."""
+def kmeans_segments(star: Star, **kw) -> DataFrame:
+    """M2: customer_id, the three features and a cluster label 0..k-1 (0 = highest mean monetary).
+
+    Fitted once for a sharing star (``plans.shared``), whose other segment
+    queries read the labelled table.
+    """
+    return per_star(star, ("segments", *sorted(kw.items())), lambda: _fit_segments(star, **kw))
+
+
+def _fit_segments(star: Star, k: int = 4, seed: int = 42, n_init: int = 10, max_iter: int = 300,
+                  tol: float = 1e-4, parallel_fits: int = 5) -> DataFrame:
     spark = rfm_features(star).sparkSession
     ensure_checkpoint_dir(spark)
     z = standardize(rfm_features(star), FEATURES)
@@ -73,7 +82,7 @@ def kmeans_segments(star: Star, k: int = 4, seed: int = 42, n_init: int = 10, ma
     # k rows: the relabelling table is bounded by k
     order = means.select("raw_cluster", (F.row_number().over(
         Window.orderBy(F.col("_mm").desc(), F.col("raw_cluster").asc())) - 1).cast("int").alias("cluster"))
-    return pred.join(F.broadcast(order), "raw_cluster").drop("raw_cluster")
+    return pred.join(F.broadcast(order), "raw_cluster").select("customer_id", *FEATURES, "cluster")
 
 
 def cluster_sizes(star: Star, **kw) -> DataFrame:
@@ -98,4 +107,13 @@ def cluster_summary(star: Star, **kw) -> DataFrame:
 def cluster_points(star: Star, **kw) -> DataFrame:
     """M5: per-cluster (frequency, monetary) points."""
     s = kmeans_segments(star, **kw)
-    return s.select("cluster", "frequency", "monetary_value").orderBy("cluster")
+    # the features in the key keep a cluster from being one task's range
+    return s.select("cluster", "frequency", "monetary_value").orderBy("cluster", "frequency", "monetary_value")
+
+
+def cluster_totals(star: Star, **kw) -> DataFrame:
+    """What the cluster table must add up to: clusters, customers, orders and revenue (one row)."""
+    s = cluster_summary(star, **kw).select("customers", (F.col("avg_frequency") * F.col("customers")).alias("f"),
+                                           (F.col("avg_monetary") * F.col("customers")).alias("m"))
+    return s.agg(F.count(F.lit(1)).alias("clusters"), F.sum("customers").alias("customers"),
+                 F.round(F.sum("f")).cast("long").alias("orders"), F.round(F.sum("m"), 2).alias("revenue"))

@@ -73,6 +73,7 @@ PLANS: dict[str, Callable[[Star], DataFrame]] = {
     "cluster_sizes": segments.cluster_sizes,                # M3
     "cluster_summary": segments.cluster_summary,            # M4
     "cluster_points": segments.cluster_points,              # M5
+    "cluster_totals": segments.cluster_totals,              # M2-M4
     # warehouse load and audit steps
     "star_audit": warehouse.star_audit,                     # C1-C5
     "order_financials": warehouse.order_financials,         # L9
@@ -81,6 +82,11 @@ PLANS: dict[str, Callable[[Star], DataFrame]] = {
     "lines_after_cancel_purge": warehouse.lines_after_cancel_purge,  # L13
     "calendar_reseed": warehouse.calendar_reseed,           # L4
     "order_date_keys": warehouse.order_date_keys,           # L10
+    "calendar_merge": warehouse.calendar_merge,             # L4
+    "broken_order_audit": warehouse.broken_order_audit,     # C1-C5
+    "order_defaults": warehouse.order_defaults,             # C6
+    "last_calendar_days": warehouse.last_calendar_days,     # O5
+    "calendar_years": warehouse.calendar_years,             # O6
 }
 
 

@@ -10,30 +10,20 @@ DuckDB oracle (``tillscope.oracle``).
 from __future__ import annotations
 
 import datetime as dt
-import weakref
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillscope.operators.finance import order_rollup
-from tillscope.operators.joins import broadcast_if_bounded
-from tillscope.sources.dims import build_dim_channel, build_dim_date, date_key, dim_date_rows
+from tillscope.sources.dims import build_dim_channel, build_dim_date, date_key
 from tillscope.sources.schema import MONEY_10, MONEY_12
 from tillscope.sources.star import Star
 
-# The calendar that covers the driver's order dates.
-DRIVER_START = dt.date(1995, 1, 1)
-DRIVER_END = dt.date(2001, 12, 31)
-
 # Order priority → channel id, order status letter → status.
 PRIORITY_CHANNEL = [("1-URGENT", 1), ("2-HIGH", 2), ("3-MEDIUM", 3), ("5-LOW", 4)]  # '4-NOT SPECIFIED' → NULL
 STATUS_NAMES = [("F", "Completed"), ("O", "Refunded"), ("P", "Cancelled")]
 
-# TPC-H fixes these two tables' sizes independently of the scale factor.
-NATION_ROWS = 25
-REGION_ROWS = 5
-
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -49,11 +39,9 @@ def _case(column: str, pairs) -> F.Column:
 def map_customer(customer: DataFrame, nation: DataFrame, region: DataFrame, orders: DataFrame) -> DataFrame:
     first_order = (orders.groupBy(F.col("o_custkey").alias("c_custkey"))
                    .agg(F.to_date(F.min("o_orderdate")).alias("created_date")))
-    # nation and region sizes are fixed by the TPC-H schema, whatever the scale
-    geo = (broadcast_if_bounded(nation.select("n_nationkey", "n_name", "n_regionkey"), NATION_ROWS)
-           .join(broadcast_if_bounded(region.select("r_regionkey", "r_name"), REGION_ROWS),
-                 F.col("n_regionkey") == F.col("r_regionkey"), "left"))
-    c = customer.join(broadcast_if_bounded(geo, NATION_ROWS), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    geo = nation.select("n_nationkey", "n_name", "n_regionkey").join(
+        region.select("r_regionkey", "r_name"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
+    c = customer.join(geo, F.col("c_nationkey") == F.col("n_nationkey"), "left")
     c = c.join(first_order, "c_custkey", "left")
     null = F.lit(None).cast("string")
     return c.select(
@@ -91,13 +79,17 @@ def map_items(lineitem: DataFrame) -> DataFrame:
     sub = F.col("l_extendedprice").cast(MONEY_12)
     disc = F.round(sub * F.col("l_discount").cast("decimal(4,2)"), 2).cast(MONEY_12)
     qty = F.col("l_quantity").cast("int")
-    # Lines have no key of their own: number them inside their order (over
-    # every line column, so equal lines are interchangeable).  The window is
-    # pruned away by Catalyst whenever order_item_id is not read.
-    w = Window.partitionBy("l_orderkey").orderBy(*[F.col(c).asc_nulls_first() for c in lineitem.columns])
-    line_no = F.row_number().over(w)
+    # Order and line number are no key of the lines: lines that share both are
+    # numbered (over the other columns, so equal lines are interchangeable).
+    # A long order falls apart into its line numbers, and the window is pruned
+    # away whenever order_item_id is not read.  18 digits stay free below the
+    # order key, 9 of them for the line number, so keys cannot meet.
+    pair = ["l_orderkey", "l_linenumber"]
+    w = Window.partitionBy(*pair).orderBy(*[F.col(c).asc_nulls_first() for c in lineitem.columns if c not in pair])
+    key = (F.col("l_orderkey").cast("decimal(20,0)") * F.lit(Decimal(10**18))
+           + F.coalesce("l_linenumber", F.lit(0)).cast("decimal(18,0)") * F.lit(Decimal(10**9)) + F.row_number().over(w))
     return lineitem.select(
-        (F.col("l_orderkey") * 100 + line_no).cast("long").alias("order_item_id"),
+        key.cast("decimal(38,0)").alias("order_item_id"),
         F.col("l_orderkey").cast("long").alias("order_id"),
         F.col("l_partkey").cast("long").alias("product_id"),
         qty.alias("quantity"),
@@ -131,24 +123,15 @@ def map_orders(orders: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
-_STARS: "weakref.WeakKeyDictionary[SparkSession, dict[str, Star]]" = weakref.WeakKeyDictionary()
+def calendar_span(orders: DataFrame) -> tuple[dt.date, dt.date]:
+    """First and last order date, widened to whole years (one aggregate over one column)."""
+    first, last = orders.agg(F.min(F.to_date("o_orderdate")), F.max(F.to_date("o_orderdate"))).first()
+    today = dt.date.today()
+    return dt.date((first or today).year, 1, 1), dt.date((last or today).year, 12, 31)
 
 
 def driver_star(spark: SparkSession, sf_dir: str) -> Star:
-    """The star over ``{sf_dir}/*.parquet`` (lazy; nothing is read until an action).
-
-    The Star holds only lazy plans, so one instance per (session, folder) is
-    built and shared by every query: file listing, footer reads and the
-    analysis of the mapping happen once, not once per query.
-    """
-    per_session = _STARS.setdefault(spark, {})
-    key = sf_dir.rstrip("/")
-    if key not in per_session:
-        per_session[key] = _build_driver_star(spark, sf_dir)
-    return per_session[key]
-
-
-def _build_driver_star(spark: SparkSession, sf_dir: str) -> Star:
+    """The star over ``{sf_dir}/*.parquet``: lazy plans, and a calendar over the years of the order dates."""
     lineitem = _read(spark, sf_dir, "lineitem")
     orders_raw = _read(spark, sf_dir, "orders")
     items = map_items(lineitem)
@@ -165,16 +148,18 @@ def _build_driver_star(spark: SparkSession, sf_dir: str) -> Star:
         if status not in by_status:
             code = codes.get(status)
             raw = orders_raw.where(F.col("o_orderstatus") == code) if code else orders_raw.where(F.lit(False))
-            by_status[status] = map_orders(raw, items)
+            own = lineitem.join(raw.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
+            by_status[status] = map_orders(raw, map_items(own.select(*lineitem.columns)))
         return by_status[status]
 
     return Star(
         customer=customer,
         product=product,
-        date=build_dim_date(spark, DRIVER_START, DRIVER_END),
+        date=build_dim_date(spark, *calendar_span(orders_raw)),
         channel=build_dim_channel(spark),
         orders=orders,
         items=items,
-        row_bounds={"dim_date": dim_date_rows(DRIVER_START, DRIVER_END), "dim_channel": 8},
         status_builder=orders_with_status,
+        items_without=lambda ids: map_items(lineitem.join(ids.select(F.col("order_id").alias("l_orderkey")), "l_orderkey", "left_anti")
+                                            .select(*lineitem.columns)),
     )

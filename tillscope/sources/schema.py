@@ -81,7 +81,7 @@ FACT_ORDER = T.StructType([
 ])
 
 FACT_ORDER_ITEM = T.StructType([
-    _f("order_item_id", T.LongType(), False),
+    _f("order_item_id", T.DecimalType(38, 0), False),
     _f("order_id", T.LongType(), False),
     _f("product_id", T.LongType(), False),
     _f("quantity", T.IntegerType(), False),

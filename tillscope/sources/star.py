@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillscope.functions.common import completed
-from tillscope.sources.schema import SCHEMAS
+from tillscope.sources.schema import RULES, SCHEMAS
 
 TABLES = ("dim_customer", "dim_product", "dim_date", "dim_channel", "fact_order", "fact_order_item")
 
@@ -25,13 +25,14 @@ class Star:
     channel: DataFrame
     orders: DataFrame
     items: DataFrame
-    # Proven upper bounds on row counts, by table name.  Only tables whose
-    # size is fixed by construction (a generated calendar, the static
-    # channel list) carry one; a bound is what licenses a broadcast.
-    row_bounds: dict = field(default_factory=dict)
     # Optional source-aware builder of orders with one status (lets a mapped
     # source push its raw status predicate into the scan).
     status_builder: object = None
+    # Optional builder of the lines whose order is not among given ids, for
+    # sources that can drop rows before they number them.
+    items_without: object = None
+    # Intermediates kept by ``plans.shared`` for a star that shares them.
+    shared: dict | None = field(default=None, compare=False)
 
     def orders_with_status(self, status: str) -> DataFrame:
         """Order headers with the given status."""
@@ -63,9 +64,12 @@ class Star:
 
 
 def _conform(df: DataFrame, name: str) -> DataFrame:
-    """Select and cast to the declared schema (missing nullable columns → NULL)."""
+    """Select and cast to the declared schema; an absent optional column is NULL, an absent required one an error."""
     schema = SCHEMAS[name]
     present = set(df.columns)
+    absent = [f.name for f in schema.fields if f.name not in present and (not f.nullable or f.name in RULES[name].not_null)]
+    if absent:
+        raise ValueError(f"{name}: required columns are missing: {', '.join(absent)}")
     cols = []
     for f in schema.fields:
         c = F.col(f.name) if f.name in present else F.lit(None)
@@ -73,8 +77,7 @@ def _conform(df: DataFrame, name: str) -> DataFrame:
     return df.select(*cols)
 
 
-def load_star(spark: SparkSession, path: str, fmt: str = "parquet", options: dict | None = None,
-              row_bounds: dict | None = None) -> Star:
+def load_star(spark: SparkSession, path: str, fmt: str = "parquet", options: dict | None = None) -> Star:
     """L1: scan the six warehouse tables stored as ``{path}/{table}`` in any Spark format.
 
     Each table is cast to its declared schema, so later plans can rely on
@@ -91,35 +94,39 @@ def load_star(spark: SparkSession, path: str, fmt: str = "parquet", options: dic
 
     t = {name: _conform(read(name), name) for name in TABLES}
     return Star(t["dim_customer"], t["dim_product"], t["dim_date"], t["dim_channel"],
-                t["fact_order"], t["fact_order_item"], dict(row_bounds or {}))
+                t["fact_order"], t["fact_order_item"])
 
 
 def write_star(star: Star, path: str, mode: str = "overwrite", fmt: str = "parquet") -> None:
     """Bulk write of the star.
 
-    Facts are partitioned by the year and month of the order date so that
-    month-bounded queries prune whole directories; the line table carries
-    the same partition columns taken from its header.  Dimensions are
-    written as is.
+    Facts are partitioned by the year of the order date; each year's rows are
+    dealt by order id over as many files as its share needs (``REBALANCE``
+    sizes them), so the number of files follows the data and not the tasks.
+    The line table carries the partition column of its header.
     """
     base = path.rstrip("/")
     for name in ("dim_customer", "dim_product", "dim_date", "dim_channel"):
         star.table(name).write.mode(mode).format(fmt).save(f"{base}/{name}")
-    ym = F.floor(F.col("order_date_id") / 10000).cast("int"), (F.floor(F.col("order_date_id") / 100) % 100).cast("int")
-    orders = star.orders.withColumn("p_year", ym[0]).withColumn("p_month", ym[1])
-    orders.write.mode(mode).format(fmt).partitionBy("p_year", "p_month").save(f"{base}/fact_order")
-    keys = orders.select("order_id", "p_year", "p_month")
-    items = star.items.join(keys, "order_id", "left")
-    items.write.mode(mode).format(fmt).partitionBy("p_year", "p_month").save(f"{base}/fact_order_item")
+    orders = star.orders.withColumn("p_year", F.floor(F.col("order_date_id") / 10000).cast("int"))
+    items = star.items.join(orders.select("order_id", "p_year"), "order_id", "left")
+    for name, df in (("fact_order", orders), ("fact_order_item", items)):
+        df.hint("rebalance", "p_year").write.mode(mode).format(fmt).partitionBy("p_year").save(f"{base}/{name}")
+
+
+def bucket_count(input_bytes: int, target_bytes: int = 256 * 2**20) -> int:
+    """Buckets for a fact table of that size, so that one bucket is about ``target_bytes``."""
+    return max(1, -(-input_bytes // target_bytes))
 
 
 FACTS = ("fact_order", "fact_order_item")
 
 
-def save_star_tables(star: Star, database: str = "default", buckets: int = 64, mode: str = "overwrite",
+def save_star_tables(star: Star, buckets: int, database: str = "default", mode: str = "overwrite",
                      prefix: str = "") -> list[str]:
     """L7, table form: the star as catalog tables, facts bucketed by ``order_id``.
 
+    ``buckets`` is best taken from ``bucket_count`` of the line table's bytes.
     Both facts are written with the same bucket count on ``order_id`` (and
     sorted by it inside each bucket), so the line-to-order join of every
     line-level query reads matching buckets side by side: no shuffle of
@@ -137,20 +144,22 @@ def save_star_tables(star: Star, database: str = "default", buckets: int = 64, m
     return names
 
 
-def load_star_tables(spark: SparkSession, database: str = "default", prefix: str = "",
-                     row_bounds: dict | None = None) -> Star:
+def load_star_tables(spark: SparkSession, database: str = "default", prefix: str = "") -> Star:
     """L1, table form: read a star saved by ``save_star_tables`` (bucketing is kept)."""
     t = {name: _conform(spark.table(f"{database}.{prefix}{name}"), name) for name in TABLES}
     return Star(t["dim_customer"], t["dim_product"], t["dim_date"], t["dim_channel"],
-                t["fact_order"], t["fact_order_item"], dict(row_bounds or {}))
+                t["fact_order"], t["fact_order_item"])
 
 
 def register_views(spark: SparkSession, star: Star) -> list[str]:
     """Register the base tables and the eleven named views as temp views.
 
     Views are registered in dependency order (base tables, then views that
-    read only base tables, then the views built on other views).  Temp views
-    are lazy plans, like SQL views; each read re-plans them.
+    read only base tables, then the views built on other views).  They are
+    plans over the base tables and show appended rows once the session has
+    refreshed them, except four whose operators cut lineage when the plan is
+    built: the tile views (V6, V7) and the pair views (V9, V11) show the data
+    of the moment of registration.
     """
     from tillscope.plans import basket, cohorts, customers, products, revenue
 

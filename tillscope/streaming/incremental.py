@@ -16,10 +16,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 
 def _existing_keys(spark: SparkSession, path: str, keys: list[str], fmt: str) -> DataFrame | None:
-    try:
-        return spark.read.format(fmt).load(path).select(*keys)
-    except Exception:  # noqa: BLE001 - the target does not exist yet
+    """The stored keys; None only if the target does not exist.  Any other read error is raised."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
         return None
+    return spark.read.format(fmt).load(path).select(*keys)
 
 
 def append_absent(batch: DataFrame, path: str, keys: list[str], fmt: str = "parquet",
