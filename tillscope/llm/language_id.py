@@ -9,8 +9,9 @@ prediction whose runner-up is hardly larger (relative margin below
 ``min_margin``) is marked ``rejected``; its best guess stays in ``lang_pred``.
 
 The dictionaries are the only thing learned: ``docs_per_lang`` documents a
-language (those with the smallest hash of their id), ``EXCERPT`` characters of
-each, ``DICT_BYTES`` bytes a language at most.  They are built in the driver
+language at most (those with the smallest hash of their id in each of
+``HASH_CLASSES`` classes, so that no task ranks a whole language), ``EXCERPT``
+characters of each, ``DICT_BYTES`` bytes a language at most.  They are built in the driver
 and broadcast; ``MAX_LANGS`` languages at most are accepted, more raise.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0 and
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 from tillscope.llm.common import slices
 
 DICT_BYTES, EXCERPT, BLOCK, MAX_LANGS = 110_000, 2_000, 4_000, 1_000
+HASH_CLASSES = 40
 UNKNOWN = "und"
 _RESULT = "doc_id long, lang_pred string, score double, margin double, rejected boolean"
 _not_letters = re.compile(r"[\W\d_]+")
@@ -42,22 +44,27 @@ def letters_only(text: str) -> str:
 def learn_dictionaries(
     labelled: DataFrame, docs_per_lang: int = 400, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"
 ) -> dict[str, bytes]:
-    """Language to dictionary content, from a bounded sample: the rows with the smallest hash of their id."""
+    """Language to dictionary content, from a bounded sample."""
     rows = labelled.select(
         F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")
     ).where("lang is not null and text is not null")
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = rows.select("doc_id", "lang").withColumn("k", F.row_number().over(by_hash)).where(F.col("k") <= docs_per_lang)
+    by_hash = Window.partitionBy("lang", "class").orderBy("hash", "doc_id")
+    each = -(-docs_per_lang // HASH_CLASSES)
+    chosen = (
+        rows.select("doc_id", "lang", F.xxhash64("doc_id").alias("hash"))
+        .withColumn("class", F.pmod(F.xxhash64(F.lit("class"), "doc_id"), F.lit(HASH_CLASSES)))
+        .withColumn("k", F.row_number().over(by_hash)).where(F.col("k") <= each).select("doc_id", "lang", "hash")
+    )
     langs = rows.select("lang").distinct().limit(MAX_LANGS + 1).count()
     if langs > MAX_LANGS:
         raise ValueError(f"more than {MAX_LANGS} languages")
     excerpts = (  # docs_per_lang x MAX_LANGS narrow rows at most
         rows.join(F.broadcast(chosen), ["doc_id", "lang"])
-        .select("lang", "k", "doc_id", F.substring("text", 1, EXCERPT).alias("text"))
+        .select("lang", "hash", F.substring("text", 1, EXCERPT).alias("text"))
         .collect()
     )
     parts: dict[str, list[str]] = {}
-    for row in sorted(excerpts, key=lambda r: (r.lang, r.k, r.text)):
+    for row in sorted(excerpts, key=lambda r: (r.lang, r.hash, r.text)):
         parts.setdefault(row.lang, []).append(letters_only(row.text))
     order = sorted(parts, key=lambda x: (-len(parts[x]), x))
     return {lang: " ".join(dict.fromkeys(parts[lang])).encode()[:DICT_BYTES] for lang in order}
