@@ -15,10 +15,13 @@ the component of every document.
    prefixes that belong to that number.
 3. Tokens held by one document only are dropped.  In pivot rounds each token's
    bucket is compared with one of its documents, which takes linearly many
-   pairs and joins most of a large group of near copies.
+   pairs and joins most of a large group of near copies.  (A round takes pairs
+   met at ``EVIDENCE`` tokens; what it leaves out is left to step 4.)
 4. The rest is exact: buckets whose documents are still in different components
    are joined with themselves, pairs inside one component are left out (they
-   cannot change it), pairs with too few shared prefix tokens too, and what
+   cannot change it), pairs with too few shared prefix tokens too, and pairs
+   that cannot reach the threshold: a prefix token that nobody else holds is
+   lost for both, and behind the last shared token only so many are left.  What
    remains is verified on whole sets.
 
 All steps are joins and aggregations; broadcast are the sketch and a bitmap of
@@ -32,6 +35,7 @@ gets its set size and a null component; empty tables give no rows.
 
 from __future__ import annotations
 
+import zlib
 from array import array
 
 import numpy as np
@@ -40,10 +44,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillscope.llm.common import slices, summed_blocks, written
+from tillscope.llm.common import slices, written
 from tillscope.llm.components import components
 
-SKETCH_BITS, SKETCH_BLOCK = 20, 1 << 16
+SKETCH_BITS, SKETCH_BLOCK = 24, 1 << 16
+SKETCH_SALTS = 8
+EVIDENCE = 2  #: shared tokens that a pivot round asks for
 BITMAP_BITS = 23
 MAX_MATCHES = 4
 PAIR_COST = 8.0  #: of a candidate pair, in tokens handed on
@@ -108,30 +114,60 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def _signatures(docs: DataFrame, n: int) -> tuple[DataFrame, np.ndarray]:
     """(doc_id, size, signature) of every row, and the sketch of all shingles."""
+    names = ["doc_id", "size", "signature", "block", "data"]
+
     def run(batches):
-        shingler, sketch = Shingler(n), np.zeros(1 << SKETCH_BITS, np.int32)
+        shingler, sketch = Shingler(n), np.zeros(1 << SKETCH_BITS, np.uint16)
         for batch in batches:
             for part in slices(batch, "text", 2_000_000):
                 sets = shingler.sets(part["text"].to_pylist())
                 signs = [np.array([s.sum(dtype=np.uint64), _mix(s + _ODD[2]).sum(dtype=np.uint64)], np.uint64).tobytes() for s in sets]
-                sketch += np.bincount(np.concatenate(sets) >> np.uint64(64 - SKETCH_BITS), minlength=len(sketch)).astype(np.int32)
+                at, often = np.unique(np.concatenate(sets) >> np.uint64(64 - SKETCH_BITS), return_counts=True)
+                sketch[at] = np.minimum(sketch[at].astype(np.int64) + often, 0xFFFF)
                 rows = len(sets)
                 yield pa.RecordBatch.from_arrays(
                     [part["doc_id"], pa.array([len(s) for s in sets], pa.int64()), pa.array(signs, pa.binary()),
-                     pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())], ["doc_id", "size", "signature", "block", "data"])
+                     pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())], names)
         blocks = sketch.reshape(-1, SKETCH_BLOCK)
-        used = [i for i in range(len(blocks)) if blocks[i].any()]
-        rows = len(used)
+        used = np.flatnonzero(blocks.any(1)).tolist()
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.binary()), pa.array(used, pa.int32()),
-             pa.array([blocks[i].tobytes() for i in used], pa.binary())], ["doc_id", "size", "signature", "block", "data"])
+            [pa.nulls(len(used), pa.int64()), pa.nulls(len(used), pa.int64()), pa.nulls(len(used), pa.binary()),
+             pa.array(used, pa.int32()), pa.array([zlib.compress(blocks[i].tobytes(), 1) for i in used], pa.binary())], names)
 
     both = written(docs.mapInArrow(run, "doc_id long, size long, signature binary, block int, data binary"), "signatures")
-    sums = summed_blocks(both.where("block is not null").select("block", "data"), "<i4", SKETCH_BLOCK)
-    sketch = np.zeros(((1 << SKETCH_BITS) // SKETCH_BLOCK, SKETCH_BLOCK), np.int32)
-    for k, v in sums.items():
-        sketch[k] = v
-    return both.where("block is null").select("doc_id", "size", "signature"), sketch.reshape(-1)
+    return both.where("block is null").select("doc_id", "size", "signature"), _summed(both.where("block is not null"))
+
+
+def _summed(parts: DataFrame) -> np.ndarray:
+    """The tasks' sketches added up, on a scale of eighths of a power of two (one byte a counter).
+
+    Blocks are added in streams, first by (block, salt), then by block, so a
+    task holds a few blocks however many there are; the driver gets the result.
+    """
+    def add(kind, last):
+        def run(batches):
+            sums: dict[int, np.ndarray] = {}
+            for batch in batches:
+                for block, data in zip(batch["block"].to_pylist(), batch["data"].to_pylist(), strict=True):
+                    values = np.frombuffer(zlib.decompress(data), kind)
+                    sums[block] = sums[block] + values if block in sums else values.astype(np.int64)
+            scaled = lambda v: np.minimum(255, np.round(8 * np.log2(1 + v))).astype(np.uint8) if last else v
+            yield pa.RecordBatch.from_pydict(
+                {"block": list(sums), "data": [zlib.compress(scaled(v).tobytes(), 1) for v in sums.values()]},
+                schema=pa.schema([("block", pa.int32()), ("data", pa.binary())]))
+        return run
+
+    dealt = parts.select("block", "data", (F.spark_partition_id() % SKETCH_SALTS).alias("salt")).repartition("block", "salt")
+    some = dealt.select("block", "data").mapInArrow(add("<u2", False), "block int, data binary")
+    whole = some.repartition("block").mapInArrow(add("<i8", True), "block int, data binary")
+    sketch = np.zeros(((1 << SKETCH_BITS) // SKETCH_BLOCK, SKETCH_BLOCK), np.uint8)
+    for row in whole.collect():  # 2^SKETCH_BITS bytes
+        sketch[row.block] = np.frombuffer(zlib.decompress(bytes(row.data)), np.uint8)
+    return sketch.reshape(-1)
+
+
+def sketch_counts(scaled: np.ndarray) -> np.ndarray:
+    return np.exp2(scaled / 8.0) - 1
 
 
 def prefix_length(size, matches, share: int):
@@ -158,7 +194,7 @@ def choose_matches(cost: np.ndarray, size: int, share: int) -> int:
 
 def _prefix_tokens(docs: DataFrame, sketch: np.ndarray, n: int, share: int) -> DataFrame:
     """(token, doc_id, size, place, matches) of every row's prefix."""
-    noise = sketch.sum(dtype=np.int64) / len(sketch)
+    noise = float(np.median(sketch_counts(sketch[: 1 << 20])))
     sent = docs.sparkSession.sparkContext.broadcast(sketch)  # 2^SKETCH_BITS counters
 
     def run(batches):
@@ -173,7 +209,7 @@ def _prefix_tokens(docs: DataFrame, sketch: np.ndarray, n: int, share: int) -> D
                     often = counts[tokens >> np.uint64(64 - SKETCH_BITS)]
                     longest = prefix_length(size, MAX_MATCHES, share)
                     order = np.lexsort((tokens, often))[:longest]
-                    matches = choose_matches(np.maximum(often[order] - noise - 1, 0), size, share)
+                    matches = choose_matches(np.maximum(sketch_counts(often[order]) - noise - 1, 0), size, share)
                     chosen = tokens[order[: prefix_length(size, matches, share)]].view(np.int64)
                     out.append((doc_id, size, matches, chosen))
                 if not out:
@@ -225,8 +261,23 @@ def _verified(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
     return written(both.where(100 * F.col("common") >= share * (F.col("sizes") - F.col("common"))).select("a", "b"), "links")
 
 
-def _sizes_fit(a: Column, b: Column, share: int) -> Column:
-    return 100 * F.least(a, b) >= share * F.greatest(a, b)
+def _can_link(common: Column, a: Column, b: Column, share: int) -> Column:
+    """Whether sets of ``a`` and ``b`` tokens that share ``common`` at most may reach the threshold."""
+    return 100 * common >= share * (a + b - common)
+
+
+def _bounded(held: DataFrame, share: int) -> DataFrame:
+    """``held`` without tokens of one document, with ``most``: how many tokens a document may share at most.
+
+    A prefix token that no other representative holds is shared with none, so
+    ``most`` is the set's size less their number.
+    """
+    several = held.groupBy("token").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("token")
+    met = written(held.join(written(several, "several"), "token"), "met")
+    handed = F.least(F.col("size").cast("long"), _prefix_column(F.col("size"), F.col("matches"), share))
+    known = met.groupBy("doc_id").agg(F.count(F.lit(1)).alias("known"))
+    lone = F.greatest(handed - F.col("known"), F.lit(0))
+    return written(met.join(known, "doc_id").withColumn("most", (F.col("size") - lone).cast("int")).drop("known"), "buckets")
 
 
 def find_links(docs: DataFrame, representatives: DataFrame, sketch: np.ndarray, n: int, share: int, pivot_rounds: int = 2) -> DataFrame:
@@ -236,9 +287,8 @@ def find_links(docs: DataFrame, representatives: DataFrame, sketch: np.ndarray,
         tokens.groupBy("token").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("token"),
         "shared-tokens")
     held = written(
-        tokens.join(shared, "token").join(representatives, "doc_id", "left_semi"), "buckets")
-    ids = held.select("doc_id").distinct()
-    sets = _sets_of(docs, ids, n)
+        tokens.join(shared, "token").join(representatives, "doc_id", "left_semi"), "held")
+    held = _bounded(held, share)
     links = checked = None
     for k in range(pivot_rounds + 1):
         if links is None:
@@ -250,36 +300,42 @@ def find_links(docs: DataFrame, representatives: DataFrame, sketch: np.ndarray,
         mixed = written(
             buckets.groupBy("token").agg(
                 F.min("label").alias("low"), F.max("label").alias("high"),
-                F.min(F.struct((F.xxhash64(F.lit(k), "doc_id") if k else F.col("doc_id")).alias("rank"), "doc_id", "size", "label")).alias("pivot"),
+                F.min(F.struct((F.xxhash64(F.lit(k), "doc_id") if k else F.col("doc_id")).alias("rank"), "doc_id", "size", "most", "label")).alias("pivot"),
             ).where("low < high").select("token", F.col("pivot.doc_id").alias("p"), F.col("pivot.size").alias("p_size"),
-                                         F.col("pivot.label").alias("p_label")), "mixed")
+                                         F.col("pivot.most").alias("p_most"), F.col("pivot.label").alias("p_label")), "mixed")
         if k < pivot_rounds:
             pairs = buckets.join(mixed, "token").where(
-                (F.col("label") != F.col("p_label")) & _sizes_fit(F.col("size"), F.col("p_size"), share)
-            ).select(F.least("doc_id", "p").alias("a"), F.greatest("doc_id", "p").alias("b")).distinct()
+                (F.col("label") != F.col("p_label")) & _can_link(F.least("most", "p_most"), F.col("size"), F.col("p_size"), share)
+            ).groupBy(F.least("doc_id", "p").alias("a"), F.greatest("doc_id", "p").alias("b")).agg(
+                F.count(F.lit(1)).alias("common")).where(F.col("common") >= EVIDENCE).select("a", "b")
         else:
             pairs = _candidates(buckets.join(mixed.select("token"), "token"), share)
         if checked is not None:
             pairs = pairs.join(checked, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
-        new = _verified(pairs, sets, share)
+        ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+        new = _verified(pairs, _sets_of(docs, ids, n), share)
         links = new if links is None else written(links.union(new), "links")
         checked = pairs if checked is None else checked.union(pairs)
     return links
 
 
 def _candidates(buckets: DataFrame, share: int) -> DataFrame:
-    """Pairs of different components that share as many prefix tokens as both ask for."""
-    of = lambda x: buckets.select("token", *[F.col(c).alias(f"{c}_{x}") for c in ("doc_id", "size", "place", "matches", "label")])
+    """Pairs of different components that share as many prefix tokens as both ask for, and may share enough behind them."""
+    of = lambda x: buckets.select("token", *[
+        F.col(c).alias(f"{c}_{x}") for c in ("doc_id", "size", "place", "matches", "most", "label")])
     asked = F.least("matches_a", "matches_b")
     inside = lambda x: F.col(f"place_{x}") < _prefix_column(F.col(f"size_{x}"), asked, share)
     met = of("a").join(of("b"), "token").where(
         (F.col("doc_id_a") < F.col("doc_id_b")) & (F.col("label_a") != F.col("label_b"))
-        & _sizes_fit(F.col("size_a"), F.col("size_b"), share) & inside("a") & inside("b"))
-    return (
-        met.groupBy(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b"))
-        .agg(F.count(F.lit(1)).alias("common"), F.max(asked).alias("asked")).where("common >= asked").select("a", "b")
-    )
+        & _can_link(F.least("most_a", "most_b"), F.col("size_a"), F.col("size_b"), share) & inside("a") & inside("b"))
+    pairs = met.groupBy(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")).agg(
+        F.count(F.lit(1)).alias("common"), F.max(asked).alias("asked"), F.max("size_a").alias("x"), F.max("size_b").alias("y"),
+        F.least(F.min(F.col("size_a") - F.col("place_a")), F.min(F.col("size_b") - F.col("place_b"))).alias("behind"))
+    # what lies behind the last shared token of either set, and the shared tokens up to it
+    return pairs.where(
+        (F.col("common") >= F.col("asked")) & _can_link(F.col("common") + F.col("behind") - 1, F.col("x"), F.col("y"), share)
+    ).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, share: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
