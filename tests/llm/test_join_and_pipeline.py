@@ -62,6 +62,26 @@ def test_join_equals_all_pairs(docs_of):
     assert sizes == sorted((i or 0, len(shingles(t, 4))) for i, t in rows)
 
 
+def longer_versions(rnd):
+    """Pairs of a text and the same with 5 to 15 % new words, appended or put in; no two pairs share a word."""
+    rows = []
+    for k in range(80):
+        base = [f"p{k}w{i}" for i in range(rnd.randint(40, 130))]
+        new = [f"p{k}n{i}" for i in range(max(2, round(len(base) * rnd.uniform(0.05, 0.15))))]
+        at = len(base) if k % 2 else rnd.randrange(len(base))
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(base[:at] + new + base[at:]))]
+    return rows
+
+
+def test_join_finds_longer_versions(docs_of):
+    rows = longer_versions(random.Random(11))
+    for share in (80, 85):
+        expected = brute(rows, 5, share)
+        assert sum(i != c for i, c in expected.items()) > 40
+        out = ngram_join.near_duplicates(docs_of(rows), n=5, share=share).collect()
+        assert {r.doc_id: r.component_id for r in out} == expected
+
+
 def test_join_of_empty_table(docs_of):
     assert ngram_join.near_duplicates(docs_of([(1, "a b")]).limit(0)).count() == 0
 

@@ -20,9 +20,10 @@ the component of every document.
 4. The rest is exact: buckets whose documents are still in different components
    are joined with themselves, pairs inside one component are left out (they
    cannot change it), pairs with too few shared prefix tokens too, and pairs
-   that cannot reach the threshold: a prefix token that nobody else holds is
-   lost for both, and behind the last shared token only so many are left.  What
-   remains is verified on whole sets.
+   that cannot reach the threshold because too few tokens lie behind the last
+   shared one.  (A prefix token that is in no other prefix bounds nothing: the
+   other set may hold it behind its own prefix.)  What remains is verified on
+   whole sets.
 
 All steps are joins and aggregations; broadcast are the sketch and a bitmap of
 candidate ids, both of fixed size, and they affect cost, not results.
@@ -266,18 +267,10 @@ def _can_link(common: Column, a: Column, b: Column, share: int) -> Column:
     return 100 * common >= share * (a + b - common)
 
 
-def _bounded(held: DataFrame, share: int) -> DataFrame:
-    """``held`` without tokens of one document, with ``most``: how many tokens a document may share at most.
-
-    A prefix token that no other representative holds is shared with none, so
-    ``most`` is the set's size less their number.
-    """
+def _several(held: DataFrame) -> DataFrame:
+    """``held`` without tokens that one document holds alone."""
     several = held.groupBy("token").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("token")
-    met = written(held.join(written(several, "several"), "token"), "met")
-    handed = F.least(F.col("size").cast("long"), _prefix_column(F.col("size"), F.col("matches"), share))
-    known = met.groupBy("doc_id").agg(F.count(F.lit(1)).alias("known"))
-    lone = F.greatest(handed - F.col("known"), F.lit(0))
-    return written(met.join(known, "doc_id").withColumn("most", (F.col("size") - lone).cast("int")).drop("known"), "buckets")
+    return written(held.join(written(several, "several"), "token"), "buckets")
 
 
 def find_links(docs: DataFrame, representatives: DataFrame, sketch: np.ndarray, n: int, share: int, pivot_rounds: int = 2) -> DataFrame:
@@ -288,7 +281,7 @@ def find_links(docs: DataFrame, representatives: DataFrame, sketch: np.ndarray,
         "shared-tokens")
     held = written(
         tokens.join(shared, "token").join(representatives, "doc_id", "left_semi"), "held")
-    held = _bounded(held, share)
+    held = _several(held)
     links = checked = None
     for k in range(pivot_rounds + 1):
         if links is None:
@@ -300,12 +293,12 @@ def find_links(docs: DataFrame, representatives: DataFrame, sketch: np.ndarray,
         mixed = written(
             buckets.groupBy("token").agg(
                 F.min("label").alias("low"), F.max("label").alias("high"),
-                F.min(F.struct((F.xxhash64(F.lit(k), "doc_id") if k else F.col("doc_id")).alias("rank"), "doc_id", "size", "most", "label")).alias("pivot"),
+                F.min(F.struct((F.xxhash64(F.lit(k), "doc_id") if k else F.col("doc_id")).alias("rank"), "doc_id", "size", "label")).alias("pivot"),
             ).where("low < high").select("token", F.col("pivot.doc_id").alias("p"), F.col("pivot.size").alias("p_size"),
-                                         F.col("pivot.most").alias("p_most"), F.col("pivot.label").alias("p_label")), "mixed")
+                                         F.col("pivot.label").alias("p_label")), "mixed")
         if k < pivot_rounds:
             pairs = buckets.join(mixed, "token").where(
-                (F.col("label") != F.col("p_label")) & _can_link(F.least("most", "p_most"), F.col("size"), F.col("p_size"), share)
+                (F.col("label") != F.col("p_label")) & _can_link(F.least("size", "p_size"), F.col("size"), F.col("p_size"), share)
             ).groupBy(F.least("doc_id", "p").alias("a"), F.greatest("doc_id", "p").alias("b")).agg(
                 F.count(F.lit(1)).alias("common")).where(F.col("common") >= EVIDENCE).select("a", "b")
         else:
@@ -323,12 +316,12 @@ def find_links(docs: DataFrame, representatives: DataFrame, sketch: np.ndarray,
 def _candidates(buckets: DataFrame, share: int) -> DataFrame:
     """Pairs of different components that share as many prefix tokens as both ask for, and may share enough behind them."""
     of = lambda x: buckets.select("token", *[
-        F.col(c).alias(f"{c}_{x}") for c in ("doc_id", "size", "place", "matches", "most", "label")])
+        F.col(c).alias(f"{c}_{x}") for c in ("doc_id", "size", "place", "matches", "label")])
     asked = F.least("matches_a", "matches_b")
     inside = lambda x: F.col(f"place_{x}") < _prefix_column(F.col(f"size_{x}"), asked, share)
     met = of("a").join(of("b"), "token").where(
         (F.col("doc_id_a") < F.col("doc_id_b")) & (F.col("label_a") != F.col("label_b"))
-        & _can_link(F.least("most_a", "most_b"), F.col("size_a"), F.col("size_b"), share) & inside("a") & inside("b"))
+        & _can_link(F.least("size_a", "size_b"), F.col("size_a"), F.col("size_b"), share) & inside("a") & inside("b"))
     pairs = met.groupBy(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")).agg(
         F.count(F.lit(1)).alias("common"), F.max(asked).alias("asked"), F.max("size_a").alias("x"), F.max("size_b").alias("y"),
         F.least(F.min(F.col("size_a") - F.col("place_a")), F.min(F.col("size_b") - F.col("place_b"))).alias("behind"))
