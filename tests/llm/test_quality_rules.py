@@ -59,3 +59,19 @@ def test_outliers_equal_numpy(docs_of, spark):
     assert not any(by_id[i].kept for i in (0, 40, 80, 120, 900, 901, 902))
     assert [r for r in out if not r.kept and not r.base_failed and r.doc_id % 40 and r.doc_id < 900] == []
     assert Q.judge(docs_of(rows).limit(0), ["doc_id"]).count() == 0
+
+
+def test_small_groups_are_judged(docs_of):
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(104):
+        lang, source = ("en", "s") if i < 84 else ("en", "small") if i < 94 else ("xx", "few")
+        text = " ".join("w" * int(k) for k in rng.integers(2, 8, 30)) + str(i)
+        rows.append((i, text + "".join(f" %#{k}$$$" for k in range(20)) if i in (90, 100) else text, lang, source))
+    by_id = {r.doc_id: r for r in Q.judge(docs_of(rows), ["doc_id"]).collect()}
+    assert sorted(i for i, r in by_id.items() if not r.kept and not r.base_failed) == [90, 100]
+    features = lambda r: [np.log(r.word_chars / r.n_words), np.log1p(100 * r.n_symbols / r.word_chars), np.log1p(100 * r.n_upper / r.word_chars)]
+    for ids, judged in (range(84), range(84)), (range(94), range(84, 94)), (range(104), range(94, 104)):
+        ids = [i for i in ids if not by_id[i].base_failed]
+        expected = dict(zip(ids, mcd(np.array([features(by_id[i]) for i in ids])), strict=True))
+        assert all(np.isclose(by_id[i].distance, expected[i], rtol=1e-6) for i in judged if i in expected)

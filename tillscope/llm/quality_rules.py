@@ -18,7 +18,9 @@ written out in columns.  Everything is DataFrame code.
 
 Defined cases: a null or empty text has no words and fails the base rules;
 null languages and sources form groups of their own; a group with fewer than
-``least_rows`` rows that passed the base rules has no estimate and keeps them;
+``least_rows`` rows that passed the base rules is judged by the estimate of all
+rows of its language, and where the language has fewer too, by that of the whole
+table, however small (a row alone is its own estimate and stays);
 ``ridge`` is added to every variance, so a group without spread in a statistic
 (or of copies of one text) stays well defined; repeated rows count each.
 """
@@ -78,6 +80,7 @@ def text_statistics(docs: DataFrame, keep: list[str], text_col: str = "text") ->
 #: affair: repeated lines and passages are common in good documents and carry no verdict here.
 FEATURES = {"word_length": 0.1, "symbol_rate": 0.3, "upper_rate": 0.4}
 GROUP = ["g_lang", "g_source"]
+ALL = "*"  #: in place of a key: all languages or sources (keys of rows are "null" or start with "=")
 
 
 def _features(stats: DataFrame) -> DataFrame:
@@ -95,7 +98,39 @@ def _features(stats: DataFrame) -> DataFrame:
     )
 
 
-def _estimate(rows: DataFrame, least_rows: int) -> DataFrame:
+def _levels(fit: DataFrame, least_rows: int) -> DataFrame:
+    """The group that judges each group (``by_lang``, ``by_source``): itself, its language or the whole table.
+
+    Also ``by_own`` and, per language, ``lang_judges``: which estimates the group's rows shape.
+    """
+    groups = fit.groupBy(*GROUP).count()
+    langs = groups.groupBy("g_lang").agg(F.sum("count").alias("n_lang"), F.min("count").alias("n_least"))
+    own, lang = F.col("count") >= least_rows, F.col("n_lang") >= least_rows
+    return groups.join(langs, "g_lang").select(
+        *GROUP, own.alias("by_own"), (lang & (F.col("n_least") < least_rows)).alias("lang_judges"),
+        F.when(own | lang, F.col("g_lang")).otherwise(F.lit(ALL)).alias("by_lang"),
+        F.when(own, F.col("g_source")).otherwise(F.lit(ALL)).alias("by_source"))
+
+
+def _salted(per_group: DataFrame) -> DataFrame:
+    return per_group.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
+def _shaping(fit: DataFrame, levels: DataFrame) -> DataFrame:
+    """Each row once for every estimate that it shapes, the group columns naming the estimate."""
+    table_judges = levels.where(F.col("by_lang") == ALL).limit(1).count() > 0
+    key = lambda lang, source: F.struct(lang.alias("g_lang"), source.alias("g_source"))
+    keys = F.filter(
+        F.array(
+            F.when(F.col("by_own"), key(F.col("g_lang"), F.col("g_source"))),
+            F.when(F.col("lang_judges"), key(F.col("g_lang"), F.lit(ALL))),
+            F.when(F.lit(table_judges), key(F.lit(ALL), F.lit(ALL)))),
+        lambda k: k.isNotNull())
+    return fit.join(_salted(levels), [*GROUP, "salt"]).select(F.explode(keys).alias("key"), "salt", *FEATURES).select(
+        "key.*", "salt", *FEATURES)
+
+
+def _estimate(rows: DataFrame) -> DataFrame:
     """Mean and Cholesky factor of the covariance, per group: columns m_i and l_i_j."""
     names = list(FEATURES)
     aggs = [F.avg(n).alias(f"m_{i}") for i, n in enumerate(names)]
@@ -103,7 +138,7 @@ def _estimate(rows: DataFrame, least_rows: int) -> DataFrame:
         (F.covar_pop(a, names[j]) + F.lit(FEATURES[a] ** 2 if i == j else 0.0)).alias(f"c_{i}_{j}")
         for i, a in enumerate(names) for j in range(i + 1)
     ]
-    est = rows.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("n"), *aggs).where(F.col("n") >= least_rows)
+    est = rows.groupBy(*GROUP).agg(*aggs)
     for i in range(len(names)):
         for j in range(i + 1):
             rest = F.col(f"c_{i}_{j}")
@@ -130,8 +165,7 @@ def _bucket() -> Column:
 
 def _with_estimate(rows: DataFrame, est: DataFrame) -> DataFrame:
     """Left join on (group, salt): a group with a third of all rows is spread over the salts."""
-    dealt = est.drop("n").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return rows.join(dealt, [*GROUP, "salt"], "left").withColumn("d2", _distance())
+    return rows.join(_salted(est), [*GROUP, "salt"], "left").withColumn("d2", _distance())
 
 
 def _with_cut(rows: DataFrame, est: DataFrame, share: float) -> DataFrame:
@@ -158,9 +192,10 @@ def judge(
     docs: DataFrame, keep: list[str], share: float = 0.75, steps: int = 4, cutoff: float = 36.0, least_rows: int = 50,
     text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
 ) -> DataFrame:
-    """``keep`` columns of each row, its statistics, ``base_failed``, ``distance`` (null: no estimate) and ``kept``.
+    """``keep`` columns of each row, its statistics, ``base_failed``, ``distance`` (null: no words, or no row of the group passed the base rules) and ``kept``.
 
-    ``share`` of a group's rows shape its estimate, ``cutoff`` is the squared
+    ``least_rows`` rows make an estimate of a group's or language's own,
+    ``share`` of its rows shape it, ``cutoff`` is the squared
     distance beyond which a row goes (scaled by the spread of the kept rows,
     never below the ridge's).  Columns of ``docs`` other than those named here
     are ignored.
@@ -172,14 +207,17 @@ def judge(
         "salt", F.pmod(F.xxhash64("row", "n_words", "word_chars"), F.lit(SALTS)).cast("int"))
     stats = written(stats, "statistics")
     fit = stats.where("not base_failed").select(*GROUP, "salt", *FEATURES)
-    est = written(_estimate(fit, least_rows), "estimate")
+    levels = written(_levels(fit, least_rows), "levels")
+    fit = written(_shaping(fit, levels), "shaping")
+    est = written(_estimate(fit), "estimate")
     for _ in range(steps):
         cut = written(_with_cut(fit, est, share), "cut")
         near = _with_estimate(fit, cut).where(_bucket() <= F.col("cut"))
-        est = written(_estimate(near, 1), "estimate")
+        est = written(_estimate(near), "estimate")
     final = _with_cut(fit, est, share).withColumn(
         "scale", F.greatest(F.lit(1.0), F.expm1((F.col("cut") + 1) / 32.0) / F.lit(_chi2(share, len(FEATURES)))))
-    judged = _with_estimate(stats, final)
+    named = final.withColumnsRenamed({"g_lang": "by_lang", "g_source": "by_source"})
+    judged = _with_estimate(stats, levels.join(named, ["by_lang", "by_source"]).drop("by_lang", "by_source", "by_own", "lang_judges"))
     distance = F.col("d2") / F.col("scale")
     return judged.select(
         "row.*", "n_words", "word_chars", "n_symbols", "n_upper", "n_dup_lines", "n_repeat_words", "base_failed",
