@@ -9,8 +9,9 @@ source) group and rejects rows whose transformed statistics lie too far from it
 by Mahalanobis distance.  The estimate is found by concentration steps: mean
 and covariance of the rows kept so far, distances of all rows to it, then the
 ``share`` of rows with the smallest distances is kept, and so on.  The first
-step starts from rows near the group's usual values, so gross outliers do not
-shape it.  A step is one aggregation over the narrow statistics table (partial
+step starts from all rows of the group, gross outliers among them, so a group
+whose bad rows lie together and exceed about a quarter (1 - ``share``) keeps
+them.  A step is one aggregation over the narrow statistics table (partial
 sums map-side, so a source with a third of all rows is no hot task) and one
 histogram of distances, from which the cut of each group is read.  Estimates go
 to the rows by a join on (group, salt).  The inverse is a Cholesky factor
