@@ -11,7 +11,9 @@ prediction whose runner-up is hardly larger (relative margin below
 The dictionaries are the only thing learned: ``docs_per_lang`` documents a
 language at most (those with the smallest hash of their id in each of
 ``HASH_CLASSES`` classes, so that no task ranks a whole language), ``EXCERPT``
-characters of each, ``DICT_BYTES`` bytes a language at most.  They are built in the driver
+characters of each, ``DICT_BYTES`` bytes a language at most (the rest is cut in
+the order of the hashes, so with full excerpts of one-byte letters about 55
+documents enter a dictionary).  They are built in the driver
 and broadcast; ``MAX_LANGS`` languages at most are accepted, more raise.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0 and
