@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import customer, item, make_star, order, product
+from star_tables import customer, item, make_star, order, product
 from tillscope.operators.audit import audit_star
 from tillscope.operators.maintenance import attach_date_key, cascade_delete, insert_new
 from tillscope.plans import basket, cohorts, customers, forecast, products, revenue

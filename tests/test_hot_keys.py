@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import customer, item, make_star, order, product
+from star_tables import customer, item, make_star, order, product
 from tillscope.plans import basket, cohorts, customers
 
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SMOKE
+from star_tables import SMOKE
 from tillscope.plans import basket, customers, revenue, segments
 from tillscope.sources.driver import driver_star
 

@@ -6,7 +6,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from conftest import customer, item, make_star, order, product
+from star_tables import customer, item, make_star, order, product
 from tillscope.operators.audit import apply_defaults
 from tillscope.operators.finance import line_financials, order_financials
 from tillscope.operators.maintenance import email_of, natural_key, product_name_of

@@ -4,7 +4,7 @@ import datetime as dt
 
 import pytest
 
-from conftest import SMOKE, customer, item, make_star, order, product
+from star_tables import SMOKE, customer, item, make_star, order, product
 from tillscope.operators.audit import check_predicate
 from tillscope.operators.maintenance import insert_new
 from tillscope.plans import customers, revenue

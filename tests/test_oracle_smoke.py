@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry
-from conftest import SMOKE
+from star_tables import SMOKE
 from tillscope.registry import oracle_sql, queries
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]

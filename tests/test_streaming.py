@@ -4,7 +4,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from conftest import SMOKE
+from star_tables import SMOKE
 from tillscope.streaming.incremental import start_idempotent_load
 
 

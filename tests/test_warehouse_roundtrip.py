@@ -2,7 +2,7 @@
 
 import tempfile
 
-from conftest import SMOKE
+from star_tables import SMOKE
 from tillscope.plans import basket, cohorts, customers, products, revenue
 from tillscope.sources.driver import driver_star
 from tillscope.sources.star import load_star, write_star
