@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import corpus_pipeline
@@ -9,7 +10,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillscope.llm import byte_bpe, hnsw, language_id, maxent_lm, ngram_join, packing, quality_rules, secret_scan, toxicity, url_rules
+from tillscope.llm import (
+    byte_bpe, hnsw, language_id, maxent_lm, ngram_join, packing, periodic_runs, quality_rules, secret_scan, sql_checks, toxicity,
+    tree_bpe, url_rules, vector_codes,
+)
 from tillscope.llm.common import crc_mod, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,6 +93,31 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(read_table(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2, scale=256).select(
+        F.col("id").alias("vec_id"), F.lower(F.hex("codes")).alias("code"), "error", "label_error", "codebooks_sha256")
+
+
+def planted_words(doc_id: int | None, text: str | None) -> list[bytes]:
+    """The words of a text, in one of ten documents (by the id's crc32) periodic from some word on; without an id as they are."""
+    words = periodic_runs.words_of(text)
+    n, h = len(words), 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digests(read_table(spark, sf_dir, "documents"), planted_words)
+
+
+def op13_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tree_bpe.round_trip_digests(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_secret_scans": op1_secret_scans,
@@ -101,12 +130,20 @@ def queries() -> dict[str, Query]:
         "op8_nearest_neighbours": op8_nearest_neighbours,
         "op9_byte_bpe": op9_byte_bpe,
         "op10_packing": op10_packing,
+        "op11_vector_codes": op11_vector_codes,
+        "op12_periodic_runs": op12_periodic_runs,
+        "op13_tree_bpe": op13_tree_bpe,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    sql = {"op1_secret_scans": _op1_sql(), "op5_url_filters": OP5_SQL}
+    sql = {
+        "op1_secret_scans": _op1_sql(),
+        "op5_url_filters": OP5_SQL,
+        "op11_vector_codes": sql_checks.vector_codes_sql(),
+        "op12_periodic_runs": sql_checks.periodic_runs_sql(),
+    }
     return sql | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
 
 
