@@ -10,7 +10,6 @@ from star_tables import SMOKE
 from tillscope.registry import oracle_sql, queries
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
-SLOW = {"kmeans_segments", "cluster_sizes", "cluster_summary", "cluster_points"}
 
 
 def _norm(v):
@@ -42,9 +41,8 @@ def test_entry_runs(spark):
     assert "total_revenue" in df.columns
 
 
-def test_every_query_has_oracle_or_is_iterative():
-    missing = set(queries()) - set(oracle_sql())
-    assert missing <= SLOW
+def test_every_query_has_an_oracle():
+    assert set(queries()) == set(oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(set(oracle_sql())))

@@ -221,4 +221,9 @@ def rfm_points(star: Star) -> DataFrame:
 
 def rfm_features(star: Star) -> DataFrame:
     """The clustering features per customer."""
-    return rfm_base(star).select("customer_id", "recency_days", "frequency", "monetary_value")
+    return rfm_features_exact(star).drop("_total")
+
+
+def rfm_features_exact(star: Star) -> DataFrame:
+    """B18 with the exact monetary sum as ``_total``."""
+    return _rfm_base(star).select("customer_id", "recency_days", "frequency", "monetary_value", "_total")

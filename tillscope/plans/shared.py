@@ -58,6 +58,18 @@ def sharing(star) -> Iterator:
         release(kept)
 
 
+@contextmanager
+def scratch(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` written as Parquet below the shared ``spark.checkpoint.dir`` for steps that read it many times; deleted afterwards."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/scratch-{uuid.uuid4().hex}"
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        _delete(spark, path)
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
