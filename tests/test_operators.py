@@ -75,16 +75,30 @@ def test_ntile_default_partitioning_with_coalescing(spark):
         spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
-def test_tiles_by_cuts_equal_window_tiles(spark):
-    from pyspark.sql import Window
-
-    from tillscope.operators.ntile import tiles_by_cuts
-
-    rows = [(i, None if i % 17 == 0 else i * 7919 % 13, i % 3) for i in range(101)]
-    for n in (0, 1, 3, 4, 101):
-        df = spark.createDataFrame(rows[:n], "id long, v long, w int")
-        for up in (True, False):
-            got = tiles_by_cuts(df, 4, [("v", up), ("id", True)], "t").select("id", "t").collect()
-            order = [F.col("v").asc() if up else F.col("v").desc(), F.col("id").asc()]
-            want = df.withColumn("t", F.ntile(4).over(Window.orderBy(*order))).select("id", "t").collect()
-            assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+def test_tiles_by_selection_equal_window_tiles(spark, monkeypatch):
+    from tillscope.operators import ntile as nt
+
+    rows = [(i * 3 % 1009, None if i % 17 == 0 else i * 7919 % 13, i % 3, i * i * i % 100_003 - 50_000) for i in range(1000)]
+    rows = [(i, 5 if j % 3 == 0 else v, w, x) for j, (i, v, w, x) in enumerate(rows)]  # a third has one value
+    for grid in (1000, 7):  # coarse brackets hold many values
+        monkeypatch.setattr(nt, "GRID", grid)
+        for n, k in ((0, 4), (1, 4), (3, 4), (4, 4), (5, 1), (101, 5), (1000, 7)):
+            df = spark.createDataFrame(rows[:n], "id long, v long, w int, x long").repartition(3)
+            sorts = {"a": nt.ascending_key(F.col("v")), "b": nt.descending_key(F.col("v")),
+                     "c": nt.descending_key(F.col("w")), "d": nt.ascending_key(F.col("x"))}
+            got = nt.tiles_by_selection(df, k, sorts, "id").select("id", *sorts).collect()
+            tile = lambda *order: F.ntile(k).over(Window.orderBy(*order, F.col("id").asc()))  # noqa: E731, B023
+            want = df.select("id", tile(F.col("v").asc()), tile(F.col("v").desc()), tile(F.col("w").desc()), tile(F.col("x").asc())).collect()
+            assert sorted(map(tuple, got)) == sorted(map(tuple, want)), (n, k)
+
+
+def test_tiles_by_selection_fail_rather_than_differ(spark, monkeypatch):
+    import pytest
+
+    from tillscope.operators import ntile as nt
+
+    df = spark.range(1000)
+    real = nt._sketched
+    monkeypatch.setattr(nt, "_sketched", lambda *a: real(*a).withColumn("grid", F.transform("grid", lambda x: F.lit(-5).cast("long"))))
+    with pytest.raises(Exception, match="tile cuts not found"):
+        nt.tiles_by_selection(df, 5, {"t": nt.ascending_key(F.col("id"))}, "id").collect()

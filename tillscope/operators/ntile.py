@@ -1,5 +1,8 @@
 """Global NTILE without a single-partition window.
 
+Two forms: ``tiles_by_selection`` (lazy, no sort, several sorts at once) and
+``ntile``, which also gives global positions:
+
 ``F.ntile(n).over(Window.orderBy(...))`` has no partition key, so Spark
 plans ``Exchange SinglePartition``: one task sorts every row.  This
 operator computes the same tiles in parallel:
@@ -28,6 +31,9 @@ from pyspark.sql import functions as F
 
 from tillscope.session import ensure_checkpoint_dir
 
+#: Ranks at which the sketch of a sort key is read, its accuracy, and the grid steps added to both sides of a position:
+#: the sketch errs by one rank in ``SKETCH_ACCURACY``, the margin is twenty times that.
+GRID, SKETCH_ACCURACY, MARGIN = 1000, 10_000, 2
 _PID, _LOCAL, _OFF, _N = "_nt_pid", "_nt_local", "_nt_off", "_nt_n"
 
 
@@ -93,37 +99,99 @@ def ntile(df: DataFrame, k: int, order: list[Column], out: str, tie: list[Column
     return ranked.withColumn(out, tile_of(pos, total, k)).drop(pos, total)
 
 
-def tiles_by_cuts(df: DataFrame, k: int, keys: list[tuple[str, bool]], out: str) -> DataFrame:
-    """Add ``out`` = NTILE(k) over ``keys``, (column, ascending) pairs that order the rows totally.
+def ascending_key(col: Column) -> Column:
+    """A whole-number sort key as 64 bits, NULLs first (as ``ORDER BY x`` has them)."""
+    return F.coalesce(col.cast("long"), F.lit(-(2**63)))
+
+
+def descending_key(col: Column) -> Column:
+    """The key that sorts ascending as ``ORDER BY x DESC`` would, NULLs last."""
+    return F.coalesce(-col.cast("long"), F.lit(2**63 - 1))
+
+
+def _sketched(rows: DataFrame, group: list[str], *more: Column) -> DataFrame:
+    """Per group: ``n`` rows and ``grid``, approximate values of ``x`` at every ``1 / GRID`` of its ranks (a mergeable sketch)."""
+    steps = [i / GRID for i in range(1, GRID)]
+    return rows.groupBy(*group).agg(
+        F.count(F.lit(1)).alias("n"), F.percentile_approx("x", steps, SKETCH_ACCURACY).alias("grid"), *more)
+
+
+def _at_positions(rows: DataFrame, targets: DataFrame, group: list[str], keep: list[str]) -> DataFrame:
+    """The exact ``x`` at each target's ``position`` within its group, the target's place among equal ones, and their number.
+
+    ``targets`` has the group, ``n`` and ``grid`` of ``_sketched``, ``position``
+    and the columns of ``keep``.  The sketch brackets a position within a few
+    hundredths of a percent of the ranks; one aggregation counts what lies below
+    the bracket and each value inside it, and a running sum over those few
+    values finds the one that holds the position.
+    """
+    step = F.col("position") * GRID / F.col("n")
+    low, high = F.floor(step).cast("int") - 1 - MARGIN, F.ceil(step).cast("int") - 1 + MARGIN
+    bracket = targets.select(
+        *group, *keep, "position",
+        F.when(low >= 0, F.get("grid", low)).otherwise(F.lit(-(2**63))).alias("_low"),
+        F.when(high < GRID - 1, F.get("grid", high)).otherwise(F.lit(2**63 - 1)).alias("_high"))
+    own = [*dict.fromkeys([*group, *keep])]
+    counted = (
+        rows.join(F.broadcast(bracket), group)  # one row a cut: sorts x (k - 1)
+        .where(F.col("x") <= F.col("_high"))
+        .groupBy(*own, "position", F.when(F.col("x") >= F.col("_low"), F.col("x")).alias("v")).agg(F.count(F.lit(1)).alias("ties")))
+    upto = F.sum("ties").over(Window.partitionBy(*own).orderBy(F.col("v").asc_nulls_first()))
+    below = F.col("_upto") - F.col("ties")
+    return (
+        counted.withColumn("_upto", upto)
+        .where(F.col("v").isNotNull() & (below <= F.col("position")) & (F.col("position") < F.col("_upto")))
+        .select(*own, "v", (F.col("position") - below).alias("within"), "ties"))
+
+
+def _evaluated_once(df: DataFrame, id_col: str) -> DataFrame:
+    """``df`` dealt by a hash of the id, for plans that read it several times.
+
+    The condition always holds; as it reads every column and isn't
+    deterministic, neither column pruning nor filters change what lies below
+    it, so that all readers have one and the same exchange and Spark runs it once.
+    """
+    return df.repartition(F.xxhash64(id_col)).where(F.xxhash64(*df.columns) % 2 < F.rand(0) + 2)
+
+
+def tiles_by_selection(df: DataFrame, k: int, sorts: dict[str, Column], id_col: str) -> DataFrame:
+    """Add, for each name in ``sorts``, NTILE(k) OVER (ORDER BY its key, ``id_col``) to every row of ``df``.
+
+    ``sorts`` maps output names to 64-bit keys in ascending order (see
+    ``ascending_key`` and ``descending_key``); ``id_col`` is a unique whole
+    number.  No sort and no window over the rows: a tile follows from comparing
+    a row's own (key, id) with the k - 1 keys at which tiles begin.  These are
+    found by order-statistic selection, for all sorts at once: a sketch of the
+    keys and an exact count around each cut give the key that holds it, and the
+    same two steps over the ids of the rows with that key, however many there
+    are, give the row.  The plan is lazy, evaluates ``df`` once and broadcasts
+    one row a cut.
 
-    Only the key columns are ranked (in parallel, as above); the k - 1 keys at
-    which a tile begins come to the driver, and each row's tile follows from
-    comparing its own key with them, so wide rows are neither sorted nor kept.
-    NULLs sort first ascending and last descending, as in ``orderBy``.
+    Cuts are exact: should a sketch ever miss its own error bound by far, the
+    query fails instead of returning other tiles.
     """
-    names = [name for name, _ in keys]
-    order = [F.col(name).asc() if up else F.col(name).desc() for name, up in keys]
-    ranked = global_position(df.select(*names), order, "_nt_pos", total_col="_nt_total")
-    total = ranked.select("_nt_total").first()
-    n = total[0] if total else 0
-    starts = sorted({t * (n // k) + min(t, n % k) for t in range(1, k)} - {0, n})
-    cuts = {r["_nt_pos"]: r for r in ranked.where(F.col("_nt_pos").isin(starts)).collect()} if starts else {}
-    types = {f.name: f.dataType for f in df.select(*names).schema}
-
-    def reached(cut) -> Column:
-        """The row's key is the cut's or comes after it."""
-        result = F.lit(True)
-        for name, up in reversed(keys):
-            own, at = F.col(name), F.lit(cut[name]).cast(types[name])
-            beyond = own > at if up else own < at
-            if cut[name] is None:
-                beyond = own.isNotNull() if up else F.lit(False)
-            elif not up:
-                beyond = beyond | own.isNull()
-            result = F.coalesce(beyond, F.lit(False)) | (own.eqNullSafe(at) & result)
-        return result
-
-    tile = F.lit(1)
-    for start in starts:
-        tile = tile + reached(cuts[start]).cast("int")
-    return df.withColumn(out, tile.cast("int"))
+    names = list(sorts)
+    df = _evaluated_once(df, id_col)
+    each = F.array(*[F.struct(F.lit(i).alias("s"), sorts[name].alias("x"), F.col(id_col).cast("long").alias("id")) for i, name in enumerate(names)])
+    rows = df.select(F.inline(each))
+    sketch = _sketched(rows, ["s"])
+    t = F.explode(F.sequence(F.lit(1), F.lit(k - 1))).alias("t") if k > 1 else F.explode(F.array().cast("array<int>")).alias("t")
+    position = (F.expr(f"t * (n div {k})") + F.least("t", F.col("n") % k)).alias("position")
+    targets = sketch.select("s", "n", "grid", t).select("*", position).where(F.col("position") < F.col("n"))
+    values = _at_positions(rows, targets, ["s"], ["s", "t"])
+    tied = (
+        rows.join(F.broadcast(values.withColumnRenamed("v", "x")), ["s", "x"])  # one row a cut
+        .select("s", "t", F.col("x").alias("v"), F.col("id").alias("x"), "within"))
+    inner = _sketched(tied, ["s", "t"], F.max("v").alias("key"), F.max("within").alias("position"))
+    rows_at = _at_positions(tied.select("s", "t", "x"), inner, ["s", "t"], ["key"])
+    cuts = rows_at.agg(F.collect_list(F.struct("s", "key", F.col("v").alias("id"))).alias("cuts")).scalar()  # sorts x (k - 1) rows
+    due = sketch.where(F.col("grid").isNotNull()).agg(F.coalesce(F.sum(F.least(F.lit(k - 1), F.col("n") - 1)), F.lit(0)).alias("due")).scalar()
+    with_cuts = df.withColumn("_cuts", cuts).withColumn("_due", due)
+    missed = F.raise_error(F.lit("tile cuts not found within the sketch's bounds")).cast("int")
+    out = []
+    for i, name in enumerate(names):
+        key, own = sorts[name], F.col(id_col).cast("long")
+        reached = lambda c: (c["s"] == i) & ((c["key"] < key) | ((c["key"] == key) & (c["id"] <= own)))  # noqa: E731, B023
+        tile = (F.size(F.filter("_cuts", reached)) + 1).cast("int")
+        out.append(F.when(F.size("_cuts") == F.col("_due"), tile).otherwise(missed).alias(name))
+    return with_cuts.select(*df.columns, *out)

@@ -12,12 +12,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillscope.functions.common import avg_money, money, month_start, round_avg_money, round_ratio
+from tillscope.functions.common import avg_money, cents, money, month_start, round_avg_money, round_ratio
 from tillscope.operators.joins import with_calendar
-from tillscope.operators.ntile import ntile, tiles_by_cuts
+from tillscope.operators.ntile import ascending_key, descending_key, ntile, tiles_by_selection
 from tillscope.operators.topk import top_k
 from tillscope.plans.shared import per_star
-from tillscope.session import ensure_checkpoint_dir
 from tillscope.sources.star import Star
 
 # LTV tier names for revenue quartiles 1..4.
@@ -63,24 +62,30 @@ def customer_lifetime_value(star: Star) -> DataFrame:
     )
 
 
-def _rfm_base(star: Star, as_of: F.Column | None = None) -> DataFrame:
+def _rfm_figures(star: Star) -> DataFrame:
+    """V5 without the recency, which needs the end of the calendar."""
     per = _per_customer(star)
-    base = star.customer.select(*RFM_ATTRS).join(per, "customer_id")
+    return star.customer.select(*RFM_ATTRS).join(per, "customer_id").select(
+        *RFM_ATTRS, "first_order_date", "last_order_date", F.col("_orders").alias("frequency"), "_total")
+
+
+def _with_recency(star: Star, figures: DataFrame, as_of: F.Column | None = None) -> DataFrame:
     if as_of is None:
         # recency is measured from the end of the calendar dimension: one
         # global max, evaluated once as a scalar subquery
-        base = base.withColumn("_as_of", star.date.agg(F.max("date_actual")).scalar())
-    else:
-        base = base.withColumn("_as_of", as_of)
-    return base.select(
+        as_of = star.date.agg(F.max("date_actual")).scalar()
+    tiles = [c for c in figures.columns if c.endswith("_score")]
+    return figures.withColumn("_as_of", as_of).select(
         *RFM_ATTRS, "first_order_date", "last_order_date",
         F.datediff("_as_of", "last_order_date").cast("int").alias("recency_days"),
-        F.col("_orders").alias("frequency"),
-        money("_total").alias("monetary_value"),
-        "_total",
+        "frequency", money("_total").alias("monetary_value"), "_total", *tiles,
     )
 
 
+def _rfm_base(star: Star, as_of: F.Column | None = None) -> DataFrame:
+    return _with_recency(star, _rfm_figures(star), as_of)
+
+
 def rfm_base(star: Star, as_of: F.Column | None = None) -> DataFrame:
     """V5: recency (days from ``as_of``, default the calendar's last day), frequency, monetary."""
     return _rfm_base(star, as_of).drop("_total")
@@ -99,18 +104,19 @@ def _rfm_scores(star: Star, best: str = "low", small: bool = False) -> DataFrame
     (``best="low"``); ``best="high"`` flips them so 5 is best.  Ties are
     broken by ``customer_id`` so the tiles are deterministic.
     """
-    b = _rfm_base(star)
-    tie = [F.col("customer_id").asc()]
     if small:
+        b = _rfm_base(star)
+        tie = [F.col("customer_id").asc()]
         b = ntile(b, 5, [F.col("recency_days").asc()], "recency_score", tie, small)
         b = ntile(b, 5, [F.col("frequency").desc()], "frequency_score", tie, small)
         b = ntile(b, 5, [F.col("_total").desc()], "monetary_score", tie, small)
-    else:  # the figures are computed once; each score then ranks two narrow columns
-        ensure_checkpoint_dir(b.sparkSession)
-        b = b.checkpoint(eager=True)
-        b = tiles_by_cuts(b, 5, [("recency_days", True), ("customer_id", True)], "recency_score")
-        b = tiles_by_cuts(b, 5, [("frequency", False), ("customer_id", True)], "frequency_score")
-        b = tiles_by_cuts(b, 5, [("_total", False), ("customer_id", True)], "monetary_score")
+    else:  # the least recency is the latest date
+        b = tiles_by_selection(_rfm_figures(star), 5, {
+            "recency_score": descending_key(F.unix_date("last_order_date")),
+            "frequency_score": descending_key(F.col("frequency")),
+            "monetary_score": descending_key(cents("_total")),
+        }, "customer_id")
+        b = _with_recency(star, b)
     if best == "high":
         for c in ("recency_score", "frequency_score", "monetary_score"):
             b = b.withColumn(c, (6 - F.col(c)).cast("int"))
@@ -132,8 +138,7 @@ def _build_ltv_tiers(star: Star, small: bool = False) -> DataFrame:
     if small:
         l = ntile(l, 4, [F.col("_total").asc()], "revenue_quartile", [F.col("customer_id").asc()], small)
     else:
-        ensure_checkpoint_dir(l.sparkSession)
-        l = tiles_by_cuts(l.checkpoint(eager=True), 4, [("_total", True), ("customer_id", True)], "revenue_quartile")
+        l = tiles_by_selection(l, 4, {"revenue_quartile": ascending_key(cents("_total"))}, "customer_id")
     tier = None
     for i, name in enumerate(LTV_TIERS, start=1):
         cond = F.col("revenue_quartile") == i

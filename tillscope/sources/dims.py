@@ -64,13 +64,17 @@ def dim_date_rows(start: dt.date = DEFAULT_START, end: dt.date = DEFAULT_END) ->
     return max((end - start).days + 1, 0)
 
 
-def calendar_for(df: DataFrame, date_col: str) -> DataFrame:
-    """Calendar rows covering [min, max] of a date column of ``df``.
+def calendar_for(df: DataFrame, date_col: str, whole_years: bool = False) -> DataFrame:
+    """Calendar rows covering [min, max] of a date column of ``df``, widened to whole years on request.
 
     The range is computed by Spark (one global min/max aggregate) and the
     days are generated with ``sequence`` + ``explode`` on the executors.
+    Without dates there are no rows.
     """
-    bounds = df.agg(F.min(F.to_date(date_col)).alias("lo"), F.max(F.to_date(date_col)).alias("hi"))
+    lo, hi = F.min(F.to_date(date_col)), F.max(F.to_date(date_col))
+    if whole_years:
+        lo, hi = F.make_date(F.year(lo), F.lit(1), F.lit(1)), F.make_date(F.year(hi), F.lit(12), F.lit(31))
+    bounds = df.agg(lo.alias("lo"), hi.alias("hi"))
     days = bounds.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("d"))
     return days.select(*calendar_columns(F.col("d")))
 

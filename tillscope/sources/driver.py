@@ -14,9 +14,10 @@ from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tillscope.operators.finance import order_rollup
-from tillscope.sources.dims import build_dim_channel, build_dim_date, date_key
+from tillscope.sources.dims import build_dim_channel, build_dim_date, calendar_for, date_key
 from tillscope.sources.schema import MONEY_10, MONEY_12
 from tillscope.sources.star import Star
 
@@ -25,8 +26,17 @@ PRIORITY_CHANNEL = [("1-URGENT", 1), ("2-HIGH", 2), ("3-MEDIUM", 3), ("5-LOW", 4
 STATUS_NAMES = [("F", "Completed"), ("O", "Refunded"), ("P", "Cancelled")]
 
 
+#: Schemas met so far, by application and path: a table's footers are read once, not for every query.
+_SCHEMAS: dict[tuple[str, str], StructType] = {}
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    reader = spark.read.schema(_SCHEMAS[key]) if key in _SCHEMAS else spark.read
+    table = reader.parquet(path)
+    _SCHEMAS[key] = table.schema
+    return table
 
 
 def _case(column: str, pairs) -> F.Column:
@@ -124,14 +134,19 @@ def map_orders(orders: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def calendar_span(orders: DataFrame) -> tuple[dt.date, dt.date]:
-    """First and last order date, widened to whole years (one aggregate over one column)."""
+    """First and last order date, widened to whole years: a ``span`` to hand to ``driver_star`` (one aggregate, run now)."""
     first, last = orders.agg(F.min(F.to_date("o_orderdate")), F.max(F.to_date("o_orderdate"))).first()
     today = dt.date.today()
     return dt.date((first or today).year, 1, 1), dt.date((last or today).year, 12, 31)
 
 
-def driver_star(spark: SparkSession, sf_dir: str) -> Star:
-    """The star over ``{sf_dir}/*.parquet``: lazy plans, and a calendar over the years of the order dates."""
+def driver_star(spark: SparkSession, sf_dir: str, span: tuple[dt.date, dt.date] | None = None) -> Star:
+    """The star over ``{sf_dir}/*.parquet``, all of it lazy plans.
+
+    The calendar covers the years of the order dates, which a query that needs
+    it finds while it runs; give ``span`` (first and last day) to save that pass
+    over one column where the days are known.
+    """
     lineitem = _read(spark, sf_dir, "lineitem")
     orders_raw = _read(spark, sf_dir, "orders")
     items = map_items(lineitem)
@@ -155,7 +170,7 @@ def driver_star(spark: SparkSession, sf_dir: str) -> Star:
     return Star(
         customer=customer,
         product=product,
-        date=build_dim_date(spark, *calendar_span(orders_raw)),
+        date=build_dim_date(spark, *span) if span else calendar_for(orders_raw, "o_orderdate", whole_years=True),
         channel=build_dim_channel(spark),
         orders=orders,
         items=items,
