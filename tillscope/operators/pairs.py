@@ -1,75 +1,66 @@
 """Co-occurrence counting of item pairs within baskets (J7, §4.3 basket pairs).
 
-Input: distinct (basket, item) rows.  Output: (item_1, item_2, n, n_1, n_2)
-with item_1 < item_2, n = number of baskets holding both (n ≥ min_count)
-and n_i = number of baskets holding item i.
+Input: (basket, item) rows, repeats allowed.  Output: (item_1, item_2, n) with
+item_1 < item_2 and n = number of baskets holding both (n ≥ min_count), and on
+request n_1, n_2 = number of baskets holding each item.
 
-* Apriori pruning: a pair can reach ``min_count`` only if both items do, so
-  rows of rarer items are dropped before any pair is formed.  This is exact,
-  and usually removes most of the pair volume.  The per-item counts needed
-  for pruning travel on the rows, so rule metrics need no extra join.
-* The pruned basket rows are checkpointed once (shared
-  ``spark.checkpoint.dir``): the size count and both sides of the self-join
-  read that copy instead of re-running the line scan, status semi join and
-  de-duplication shuffle three times.
-* Hot baskets: the self-join on the basket key alone would put all pairs
-  of one huge basket in one task.  Each basket is cut into
-  S = ceil(size / chunk_items) chunks by item hash; chunk pair (a, b) with
-  a ≤ b is a join key of its own, so a basket's pairs spread over
-  S·(S+1)/2 tasks.  Ordinary baskets have S = 1 and join exactly as the
-  plain self-join does (each row used once per side).
+* A basket becomes one row with the sorted array of its distinct items, and its
+  pairs are made inside that row: each item meets those behind it.  There is no
+  self-join; rows move once by basket and once by pair (counts are combined
+  before they move), and the plan is lazy.
+* A basket of more than ``chunk_items`` items is cut into chunks of its array.
+  Its pairs of chunks are dealt over the tasks before pairs of items are made,
+  so one huge basket is not one task's work.  An array never holds more than the
+  distinct items there are.
+* A pair's threshold is applied to its count; items are counted from the same
+  baskets and only joined to pairs that reached it.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillscope.session import ensure_checkpoint_dir
-
 DEFAULT_CHUNK_ITEMS = 2048
 
 
-def frequent_items(baskets: DataFrame, basket: str, item: str) -> DataFrame:
-    """Number of distinct baskets per item."""
-    return baskets.groupBy(item).agg(F.count(F.lit(1)).alias("item_baskets"))
+def basket_arrays(rows: DataFrame, basket: str, item: str) -> DataFrame:
+    """(basket, items): the sorted distinct items of each basket; NULL baskets and items are left out."""
+    return rows.where(F.col(basket).isNotNull()).groupBy(basket).agg(F.array_sort(F.collect_set(item)).alias("items"))
 
 
-def pair_counts(baskets: DataFrame, basket: str, item: str, min_count: int = 1,
-                chunk_items: int = DEFAULT_CHUNK_ITEMS, materialize: bool = True) -> DataFrame:
-    """(item_1, item_2, n, n_1, n_2) over distinct (basket, item) rows, n ≥ min_count."""
-    src = baskets.select(basket, item)
-    if materialize:
-        src = src.persist(StorageLevel.MEMORY_AND_DISK)
-    freq = frequent_items(src, basket, item)
-    if min_count > 1:
-        freq = freq.where(F.col("item_baskets") >= min_count)
-    b = src.join(freq, item)  # attaches n_i; drops items that cannot be in a frequent pair
-    if materialize:
-        ensure_checkpoint_dir(b.sparkSession)
-        try:
-            b = b.checkpoint(eager=True)
-        finally:
-            src.unpersist()
-    sizes = b.groupBy(basket).agg(F.count(F.lit(1)).alias("_size"))
-    s = F.greatest(F.ceil(F.col("_size") / F.lit(chunk_items)), F.lit(1)).cast("int")
-    b = (b.join(sizes, basket)
-         .withColumn("_s", s)
-         .withColumn("_c", F.pmod(F.xxhash64(F.col(item)), F.col("_s").cast("long")).cast("int")))
-    left = b.select(basket, F.col(item).alias("_x"), F.col("item_baskets").alias("_nx"), F.col("_c").alias("_a"),
-                    F.explode(F.sequence(F.col("_c"), F.col("_s") - 1)).alias("_b"))
-    right = b.select(basket, F.col(item).alias("_y"), F.col("item_baskets").alias("_ny"), F.col("_c").alias("_b"),
-                     F.explode(F.sequence(F.lit(0), F.col("_c"))).alias("_a"))
-    j = left.join(right, [basket, "_a", "_b"])
-    # within one chunk keep x < y; across chunks (a < b) every (x, y) is a distinct pair
-    j = j.where((F.col("_a") < F.col("_b")) | (F.col("_x") < F.col("_y")))
-    lo = F.col("_x") < F.col("_y")
-    pairs = j.select(F.least("_x", "_y").alias("item_1"), F.greatest("_x", "_y").alias("item_2"),
-                     F.when(lo, F.col("_nx")).otherwise(F.col("_ny")).alias("_n1"),
-                     F.when(lo, F.col("_ny")).otherwise(F.col("_nx")).alias("_n2"))
-    counted = pairs.groupBy("item_1", "item_2").agg(
-        F.count(F.lit(1)).alias("n"), F.max("_n1").alias("n_1"), F.max("_n2").alias("n_2"))
+def _behind(items: str, at: Column) -> Column:
+    """The items behind place ``at`` of an array."""
+    return F.slice(items, at + 2, F.size(items))
+
+
+def _item_pairs(left: DataFrame) -> DataFrame:
+    """(item_1, item_2) from rows (first, second): arrays to pair, ``second`` NULL for the pairs within ``first``."""
+    each = left.select("first", "second", F.posexplode("first").alias("_at", "item_1"))
+    partners = F.coalesce("second", _behind("first", F.col("_at")))
+    return each.select("item_1", F.explode(partners).alias("item_2"))
+
+
+def pair_counts(rows: DataFrame, basket: str, item: str, min_count: int = 1,
+                chunk_items: int = DEFAULT_CHUNK_ITEMS, item_counts: bool = True) -> DataFrame:
+    """(item_1, item_2, n) and, with ``item_counts``, (n_1, n_2) over (basket, item) rows, n ≥ min_count."""
+    arrays = basket_arrays(rows, basket, item)
+    none = F.lit(None).cast(arrays.schema["items"].dataType)
+    short = arrays.where(F.size("items") <= chunk_items).select(F.col("items").alias("first"), none.alias("second"))
+    # of a long basket every pair of chunks a <= b is a row of its own, dealt over the tasks
+    last = F.ceil(F.size("items") / F.lit(chunk_items)).cast("int") - 1
+    chunk = lambda c: F.slice("items", F.col(c) * chunk_items + 1, F.lit(chunk_items))
+    long = (
+        arrays.where(F.size("items") > chunk_items)
+        .select(basket, "items", last.alias("_last"), F.explode(F.sequence(F.lit(0), last)).alias("_a"))
+        .select(basket, "items", "_a", F.explode(F.sequence(F.col("_a"), F.col("_last"))).alias("_b"))
+        .select(basket, "_a", "_b", chunk("_a").alias("first"), F.when(F.col("_a") < F.col("_b"), chunk("_b")).alias("second"))
+        .repartition(basket, "_a", "_b").select("first", "second"))
+    counted = _item_pairs(short.unionByName(long)).groupBy("item_1", "item_2").agg(F.count(F.lit(1)).alias("n"))
     if min_count > 1:
         counted = counted.where(F.col("n") >= min_count)
-    return counted
+    if not item_counts:
+        return counted
+    per_item = arrays.select(F.explode("items").alias("_item")).groupBy("_item").agg(F.count(F.lit(1)).alias("_n"))
+    of = lambda x: per_item.select(F.col("_item").alias(f"item_{x}"), F.col("_n").alias(f"n_{x}"))
+    return counted.join(of(1), "item_1").join(of(2), "item_2").select("item_1", "item_2", "n", "n_1", "n_2")

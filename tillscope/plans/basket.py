@@ -1,9 +1,9 @@
 """Market basket: V9 product pairs, V11 association rules, B11, B12.
 
 Baskets are the distinct (order, product) rows of completed orders, so a
-product bought twice in one order counts once (COUNT DISTINCT order).  The
-pair counts are computed once by ``operators.pairs`` (Apriori-pruned,
-hot-basket-safe) and product names are joined after the threshold.
+product bought twice in one order counts once (COUNT DISTINCT order).  Pairs
+are made inside a basket's row (``operators.pairs``) and product names are
+joined after the threshold.
 """
 
 from __future__ import annotations
@@ -20,11 +20,15 @@ from tillscope.sources.star import Star
 MIN_ORDERS = 5
 
 
+def _lines(star: Star, item: str = "product_id") -> DataFrame:
+    """(order_id, item) of the lines of completed orders, repeats included."""
+    done = star.completed_orders().select("order_id")
+    return star.items.select("order_id", item).join(done, "order_id", "left_semi")
+
+
 def baskets(star: Star, item: str = "product_id") -> DataFrame:
     """Distinct (order_id, item) over lines of completed orders."""
-    done = star.completed_orders().select("order_id")
-    lines = star.items.select("order_id", item).join(done, "order_id", "left_semi")
-    return lines.distinct()
+    return _lines(star, item).distinct()
 
 
 def _names(df: DataFrame, star: Star) -> DataFrame:
@@ -34,19 +38,16 @@ def _names(df: DataFrame, star: Star) -> DataFrame:
     return df.join(p1, "product_id_1").join(p2, "product_id_2")
 
 
-def pair_table(star: Star, min_orders: int = MIN_ORDERS) -> DataFrame:
-    """Frequent product pairs with their counts, computed once per star and threshold.
-
-    V9, V11 and their reports all start from the same pair counts; the
-    table is checkpointed on first use and reused while the star object
-    lives, so a session asking for pairs and rules does the self-join once.
-    """
+def pair_table(star: Star, min_orders: int = MIN_ORDERS, item_counts: bool = True) -> DataFrame:
+    """Frequent product pairs with their counts: a lazy plan, kept only by a sharing star (``plans.shared``)."""
+    if star.shared is not None:  # one table serves the pairs and the rules
+        item_counts = True
     return per_star(star, ("pairs", min_orders),
-                    lambda: pair_counts(baskets(star), "order_id", "product_id", min_orders))
+                    lambda: pair_counts(_lines(star), "order_id", "product_id", min_orders, item_counts=item_counts))
 
 
 def _pairs(star: Star, min_orders: int) -> DataFrame:
-    pc = pair_table(star, min_orders)
+    pc = pair_table(star, min_orders, item_counts=False)
     return pc.select(F.col("item_1").alias("product_id_1"), F.col("item_2").alias("product_id_2"),
                      F.col("n").alias("cooccurrence_orders"))
 

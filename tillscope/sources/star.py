@@ -155,11 +155,9 @@ def register_views(spark: SparkSession, star: Star) -> list[str]:
     """Register the base tables and the eleven named views as temp views.
 
     Views are registered in dependency order (base tables, then views that
-    read only base tables, then the views built on other views).  They are
-    plans over the base tables and show appended rows once the session has
-    refreshed them, except four whose operators cut lineage when the plan is
-    built: the tile views (V6, V7) and the pair views (V9, V11) show the data
-    of the moment of registration.
+    read only base tables, then the views built on other views).  All of them
+    are plans over the base tables: registering runs nothing, and a view shows
+    appended rows once the session has refreshed its tables.
     """
     from tillscope.plans import basket, cohorts, customers, products, revenue
 
