@@ -165,3 +165,37 @@ def test_rfm_best_high_flips_tiles(star):
         assert (h["recency_score"], h["frequency_score"], h["monetary_score"]) == \
             (6 - r["recency_score"], 6 - r["frequency_score"], 6 - r["monetary_score"])
         assert h["rfm_code"] == f"{h['recency_score']}{h['frequency_score']}{h['monetary_score']}"
+
+
+def test_audit_reads_each_table_once_and_shuffles_once(spark, tmp_path):
+    from tillscope.sources.schema import RULES
+    from tillscope.sources.star import load_star, write_star
+
+    path = str(tmp_path)
+    d = dt.date(2020, 1, 5)
+    write_star(make_star(spark, [customer(1)], [product(1)], [order(1, 1, d, 10)], [item(1, 1, 1, 1, 10)]), path)
+    audit = audit_star(load_star(spark, path))
+    plan = audit._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == len(RULES)  # each file scan is one table's
+    assert plan.count("Exchange hashpartitioning") == 2  # by key, and the totals by rule
+    assert audit.count() == len(audit.select("table", "rule", "columns").distinct().collect())
+    assert audit.where("violations > 0").count() == 0
+
+
+def test_audit_of_composite_keys_and_hot_references(spark, monkeypatch):
+    from tillscope.operators import audit as module
+    from tillscope.sources.schema import TableRules
+
+    d = dt.date(2020, 1, 5)
+    s = make_star(spark, [customer(1)], [product(1)], [order(1, 1, d, 10), order(2, 7, d, 10), order(3, 7, d, 10)],
+                  [item(1, 1, 1, 1, 10), item(2, 1, 1, 1, 10), item(3, 9, 1, 1, 10)])
+    rules = dict(module.RULES)
+    rules["fact_order_item"] = TableRules(
+        primary_key=("order_id", "product_id"), unique=(("order_item_id",), ("line_total", "quantity")),
+        foreign_keys=(("order_id", "fact_order", "order_id"),))
+    monkeypatch.setattr(module, "RULES", rules)
+    got = {(r.rule, r.columns): r.violations for r in audit_star(s, ["fact_order_item"]).collect() if r.rule in ("primary_key", "unique", "foreign_key")}
+    assert got == {("primary_key", "order_id,product_id"): 2, ("unique", "order_item_id"): 0,
+                   ("unique", "line_total,quantity"): 3, ("foreign_key", "order_id"): 1}
+    orders = {(r.rule, r.columns): r.violations for r in audit_star(s, ["fact_order"]).collect()}
+    assert orders["foreign_key", "customer_id"] == 2

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillscope.functions.common import money
-from tillscope.operators.audit import apply_defaults, audit_star, audit_table
+from tillscope.operators.audit import apply_defaults, audit_star
 from tillscope.operators.finance import order_financials as _order_financials
 from tillscope.operators.maintenance import active_products, attach_date_key, cascade_delete, insert_new
 from tillscope.operators.pivot import sorted_values
@@ -81,8 +79,7 @@ def broken_orders(star: Star) -> DataFrame:
 
 def broken_order_audit(star: Star) -> DataFrame:
     """C1–C5 on order headers with known violations."""
-    parts = audit_table(star.with_tables(orders=broken_orders(star)), "fact_order")
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    return audit_star(star.with_tables(orders=broken_orders(star)), ["fact_order"])
 
 
 def order_defaults(star: Star) -> DataFrame:
