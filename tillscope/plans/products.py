@@ -53,6 +53,11 @@ def revenue_by_category(star: Star) -> DataFrame:
     )
 
 
+def revenue_by_category_in_month(star: Star, year: int = 1995, month: int = 3) -> DataFrame:
+    """V3 over one month: of both facts only that month is read."""
+    return revenue_by_category(star.in_year(year, month))
+
+
 def _margin(star: Star) -> DataFrame:
     """Exact revenue and cost per (category, subcategory, year, month).
 

@@ -28,6 +28,10 @@ PLANS: dict[str, Callable[[Star], DataFrame]] = {
     "revenue_trend": revenue.revenue_trend,                 # B2
     "channel_totals": revenue.channel_totals,               # B3
     "daily_series": revenue.daily_series,                   # B13
+    # parts of the facts, by day, month and year
+    "daily_revenue_between": revenue.daily_revenue_between,  # V1, L1
+    "revenue_by_channel_in_year": revenue.revenue_by_channel_in_year,  # V2, L1
+    "revenue_by_category_in_month": products.revenue_by_category_in_month,  # V3, L1
     # customers
     "customer_lifetime_value": customers.customer_lifetime_value,  # V4
     "rfm_base": customers.rfm_base,                         # V5

@@ -149,32 +149,45 @@ def driver_star(spark: SparkSession, sf_dir: str, span: tuple[dt.date, dt.date]
     """
     lineitem = _read(spark, sf_dir, "lineitem")
     orders_raw = _read(spark, sf_dir, "orders")
-    items = map_items(lineitem)
     customer = map_customer(_read(spark, sf_dir, "customer"), _read(spark, sf_dir, "nation"),
                             _read(spark, sf_dir, "region"), orders_raw)
-    product = map_product(_read(spark, sf_dir, "part"))
-    orders = map_orders(orders_raw, items)
+    return _facts_star(Star(
+        customer=customer,
+        product=map_product(_read(spark, sf_dir, "part")),
+        date=build_dim_date(spark, *span) if span else calendar_for(orders_raw, "o_orderdate", whole_years=True),
+        channel=build_dim_channel(spark), orders=orders_raw, items=lineitem), orders_raw, lineitem)
+
+
+def _facts_star(dims: Star, orders_raw: DataFrame, lineitem: DataFrame) -> Star:
+    """The dimensions of ``dims`` with facts mapped from the given raw tables."""
+    items = map_items(lineitem)
     codes = {name: code for code, name in STATUS_NAMES}
     by_status: dict = {}
 
+    def lines_of(raw: DataFrame) -> DataFrame:
+        own = lineitem.join(raw.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
+        return own.select(*lineitem.columns)
+
     def orders_with_status(status: str) -> DataFrame:
         # same rows as filtering the mapped status, but the predicate is on the
         # raw column, so it reaches the parquet scan as a pushed filter
         if status not in by_status:
             code = codes.get(status)
             raw = orders_raw.where(F.col("o_orderstatus") == code) if code else orders_raw.where(F.lit(False))
-            own = lineitem.join(raw.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
-            by_status[status] = map_orders(raw, map_items(own.select(*lineitem.columns)))
+            by_status[status] = map_orders(raw, map_items(lines_of(raw)))
         return by_status[status]
 
-    return Star(
-        customer=customer,
-        product=product,
-        date=build_dim_date(spark, *span) if span else calendar_for(orders_raw, "o_orderdate", whole_years=True),
-        channel=build_dim_channel(spark),
-        orders=orders,
+    def period(lo: int, hi: int) -> Star:
+        # days as a range of the raw column, for the scan's row group statistics
+        first, last = (dt.date(x // 10000, x // 100 % 100, x % 100) for x in (lo, hi))
+        raw = orders_raw.where((F.col("o_orderdate") >= F.lit(first)) & (F.col("o_orderdate") < F.lit(last + dt.timedelta(days=1))))
+        return _facts_star(dims, raw, lines_of(raw))
+
+    return dims.with_tables(
+        orders=map_orders(orders_raw, items),
         items=items,
         status_builder=orders_with_status,
         items_without=lambda ids: map_items(lineitem.join(ids.select(F.col("order_id").alias("l_orderkey")), "l_orderkey", "left_anti")
                                             .select(*lineitem.columns)),
+        period_builder=period,
     )

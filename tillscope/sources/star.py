@@ -6,6 +6,8 @@ Loading (L1), writing (L7), view registration (L5) and parametrised SQL
 
 from __future__ import annotations
 
+import calendar
+import datetime as dt
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,9 +16,24 @@ from pyspark.sql import functions as F
 from tillscope.functions.common import completed
 from tillscope.sources.schema import RULES, SCHEMAS
 
+FACTS = ("fact_order", "fact_order_item")
 TABLES = ("dim_customer", "dim_product", "dim_date", "dim_channel", "fact_order", "fact_order_item")
 
 
+#: Partition columns of the stored facts: year and month of the order date.
+PERIOD = ["p_year", "p_month"]
+
+
+def date_id_of(day: dt.date) -> int:
+    """The calendar key (yyyymmdd) of a day."""
+    return day.year * 10000 + day.month * 100 + day.day
+
+
+def _whole_months(lo: int, hi: int) -> bool:
+    """Whether two date keys are a month's first and a month's last day."""
+    return lo % 100 == 1 and hi % 100 == calendar.monthrange(hi // 10000, hi // 100 % 100)[1]
+
+
 @dataclass(frozen=True)
 class Star:
     customer: DataFrame
@@ -31,6 +48,9 @@ class Star:
     # Optional builder of the lines whose order is not among given ids, for
     # sources that can drop rows before they number them.
     items_without: object = None
+    # Optional builder of the star of the orders between two date keys, for
+    # sources that can leave whole partitions or row groups unread.
+    period_builder: object = None
     # Intermediates kept by ``plans.shared`` for a star that shares them.
     shared: dict | None = field(default=None, compare=False)
 
@@ -46,6 +66,24 @@ class Star:
             return self.status_builder("Completed")
         return completed(self.orders)
 
+    def between(self, first: dt.date, last: dt.date) -> "Star":
+        """The star of the orders dated ``first`` to ``last`` and of their lines; dimensions stay whole.
+
+        A loaded warehouse reads the partitions of those months only, of both
+        facts; the driver's tables get the days as a filter on the scan.
+        """
+        lo, hi = date_id_of(first), date_id_of(last)
+        if self.period_builder is not None:
+            return self.period_builder(lo, hi)
+        orders = self.orders.where(F.col("order_date_id").between(lo, hi))
+        return replace(self, orders=orders, items=_lines_of(self.items, orders), status_builder=None, items_without=None, shared=None)
+
+    def in_year(self, year: int, month: int | None = None) -> "Star":
+        """``between`` for a calendar year or one of its months."""
+        if month is None:
+            return self.between(dt.date(year, 1, 1), dt.date(year, 12, 31))
+        return self.between(dt.date(year, month, 1), dt.date(year, month, calendar.monthrange(year, month)[1]))
+
     def table(self, name: str) -> DataFrame:
         return {
             "dim_customer": self.customer,
@@ -63,6 +101,11 @@ class Star:
         return replace(self, **kw)
 
 
+def _lines_of(items: DataFrame, orders: DataFrame) -> DataFrame:
+    """The lines of the given orders."""
+    return items.join(orders.select("order_id"), "order_id", "left_semi").select(*items.columns)
+
+
 def _conform(df: DataFrame, name: str) -> DataFrame:
     """Select and cast to the declared schema; an absent optional column is NULL, an absent required one an error."""
     schema = SCHEMAS[name]
@@ -81,7 +124,8 @@ def load_star(spark: SparkSession, path: str, fmt: str = "parquet", options: dic
     """L1: scan the six warehouse tables stored as ``{path}/{table}`` in any Spark format.
 
     Each table is cast to its declared schema, so later plans can rely on
-    decimal money and typed keys.  ``fmt="jdbc"`` passes through (give
+    decimal money and typed keys.  Facts that carry the partition columns of
+    ``write_star`` are read by month: ``Star.between`` leaves others unread.  ``fmt="jdbc"`` passes through (give
     ``options`` with url/user; ``dbtable`` is set per table).
     """
     opts = dict(options or {})
@@ -92,26 +136,42 @@ def load_star(spark: SparkSession, path: str, fmt: str = "parquet", options: dic
             return reader.option("dbtable", name).load()
         return reader.load(f"{path.rstrip('/')}/{name}")
 
-    t = {name: _conform(read(name), name) for name in TABLES}
-    return Star(t["dim_customer"], t["dim_product"], t["dim_date"], t["dim_channel"],
-                t["fact_order"], t["fact_order_item"])
+    raw = {name: read(name) for name in TABLES}
+    t = {name: _conform(df, name) for name, df in raw.items()}
+    star = Star(t["dim_customer"], t["dim_product"], t["dim_date"], t["dim_channel"], t["fact_order"], t["fact_order_item"])
+    if not all(set(PERIOD) <= set(raw[name].columns) for name in FACTS):
+        return star
+
+    def period(lo: int, hi: int) -> Star:
+        month = F.col("p_year") * 100 + F.col("p_month")
+        orders, items = (_conform(raw[name].where(month.between(lo // 100, hi // 100)), name) for name in FACTS)
+        if not _whole_months(lo, hi):
+            orders = orders.where(F.col("order_date_id").between(lo, hi))
+            items = _lines_of(items, orders)
+        return star.with_tables(orders=orders, items=items, period_builder=period_within(lo, hi))
+
+    def period_within(first: int, last: int):
+        return lambda lo, hi: period(max(lo, first), min(hi, last))
+
+    return star.with_tables(period_builder=period)
 
 
 def write_star(star: Star, path: str, mode: str = "overwrite", fmt: str = "parquet") -> None:
     """Bulk write of the star.
 
-    Facts are partitioned by the year of the order date; each year's rows are
-    dealt by order id over as many files as its share needs (``REBALANCE``
-    sizes them), so the number of files follows the data and not the tasks.
-    The line table carries the partition column of its header.
+    Facts are partitioned by year and month of the order date; each month's rows
+    are dealt over as many files as its share needs (``REBALANCE`` sizes them),
+    so the number of files follows the data and not the tasks.  The line table
+    carries the partition columns of its header (NULL for a line without one).
     """
     base = path.rstrip("/")
     for name in ("dim_customer", "dim_product", "dim_date", "dim_channel"):
         star.table(name).write.mode(mode).format(fmt).save(f"{base}/{name}")
-    orders = star.orders.withColumn("p_year", F.floor(F.col("order_date_id") / 10000).cast("int"))
-    items = star.items.join(orders.select("order_id", "p_year"), "order_id", "left")
+    day = F.col("order_date_id")
+    orders = star.orders.withColumn("p_year", F.floor(day / 10000).cast("int")).withColumn("p_month", F.floor(day / 100 % 100).cast("int"))
+    items = star.items.join(orders.select("order_id", *PERIOD), "order_id", "left")
     for name, df in (("fact_order", orders), ("fact_order_item", items)):
-        df.hint("rebalance", "p_year").write.mode(mode).format(fmt).partitionBy("p_year").save(f"{base}/{name}")
+        df.hint("rebalance", *PERIOD).write.mode(mode).format(fmt).partitionBy(*PERIOD).save(f"{base}/{name}")
 
 
 def bucket_count(input_bytes: int, target_bytes: int = 256 * 2**20) -> int:
@@ -119,9 +179,6 @@ def bucket_count(input_bytes: int, target_bytes: int = 256 * 2**20) -> int:
     return max(1, -(-input_bytes // target_bytes))
 
 
-FACTS = ("fact_order", "fact_order_item")
-
-
 def save_star_tables(star: Star, buckets: int, database: str = "default", mode: str = "overwrite",
                      prefix: str = "") -> list[str]:
     """L7, table form: the star as catalog tables, facts bucketed by ``order_id``.
