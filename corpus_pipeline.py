@@ -9,13 +9,16 @@ last return the columns of ``documents``.
 * quality: documents that fail the base rules or lie far outside their
   language's and source's statistics go.
 * near_duplicates: of every group of documents linked at a similarity of 0.8 on
-  five-word shingles, the one with the smallest id stays; of several rows of
-  one id, the one with the smallest hash.  Rows without an id stay.
+  five-word shingles, the one with the smallest id stays.  Groups are of texts,
+  not of ids: different texts under one id are documents of their own.  Rows
+  without an id come last in their group; rows without a word are in no group
+  and stay.
 * secrets: every finding is replaced by a mark, ``n_chars`` follows.
 * packing: token sequences of 2048.
 
-Texts that are null pass the toxicity stage and fail the quality rules; empty
-tables give empty tables.
+Rows travel as one struct, so columns of any name pass through unchanged.  Texts
+that are null pass the toxicity stage and fail the quality rules; empty tables
+give empty tables.
 """
 
 from __future__ import annotations
@@ -27,44 +30,49 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillscope.llm import ngram_join, packing, quality_rules, secret_scan, toxicity
-from tillscope.llm.common import crc_mod, read_table, written
+from tillscope.llm.common import WORD_CLASS, crc_mod, discard, read_table, written
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = read_table(spark, sf_dir, "labels").where(crc_mod(F.col("doc_id"), 3) != 1)
     model = toxicity.fit(docs, labels)
-    return toxicity.score(docs, model, docs.columns, prefix="_toxic_").where("not _toxic_rejected").select(*docs.columns)
+    packed = docs.select(F.struct("*").alias("row"), "text")
+    return toxicity.score(packed, model, ["row"]).where("not rejected").select("row.*")
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    keyed = docs.withColumn("_key", F.xxhash64("text"))
-    verdicts = quality_rules.judge(keyed, ["doc_id", "_key"])
-    rejected = verdicts.where("not kept").select(F.col("doc_id").alias("r_id"), F.col("_key").alias("r_key")).distinct()
-    same = keyed["doc_id"].eqNullSafe(rejected["r_id"]) & (keyed["_key"] == rejected["r_key"])
-    return keyed.join(rejected.hint("shuffle_hash"), same, "left_anti").select(*docs.columns)
+    packed = docs.select(F.struct("*").alias("row"), "doc_id", "text", "lang", "source", F.xxhash64("text", "lang", "source").alias("key"))
+    verdicts = quality_rules.judge(packed, ["doc_id", "key"])
+    rejected = verdicts.where("not kept").select(F.col("doc_id").alias("r_id"), F.col("key").alias("r_key")).distinct()
+    same = packed["doc_id"].eqNullSafe(rejected["r_id"]) & (packed["key"] == rejected["r_key"])
+    return packed.join(rejected.hint("shuffle_hash"), same, "left_anti").select("row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = ngram_join.near_duplicates(docs, n=5, share=80)
-    firsts = groups.where("doc_id = component_id").select("doc_id").distinct()
-    row = F.struct(*docs.columns)
-    one = (
-        docs.join(firsts, "doc_id", "left_semi").groupBy("doc_id")
-        .agg(F.min_by(row, F.xxhash64(*docs.columns)).alias("row")).select("row.*")
-    )
-    return one.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    packed = docs.select(F.struct("*").alias("row"), "doc_id", "text")
+    packed = packed.withColumn("key", F.xxhash64("text")).withColumn("tie", F.xxhash64("row"))
+    words = F.rlike(F.coalesce("text", F.lit("")), F.lit(WORD_CLASS))
+    worded = packed.where(words)
+    groups = ngram_join.near_duplicates(worded.select("key", "text"), n=5, share=80, id_col="key")
+    of_key = groups.groupBy(F.col("doc_id").alias("key")).agg(F.min("component_id").alias("group"))
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tie", "key")
+    first_of_key = worded.groupBy("key").agg(F.min(rank).alias("first"))
+    firsts = first_of_key.join(of_key, "key").groupBy("group").agg(F.min("first").alias("first")).select("first.key", "first.tie")
+    one = worded.join(firsts, ["key", "tie"], "left_semi").groupBy("key", "tie").agg(F.first("row").alias("row"))
+    return one.select("row.*").unionByName(packed.where(~words).select("row.*"))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     paths, ledger = secret_scan.scan(docs)
     found = secret_scan.findings_of(paths.select("blob", F.col("blob").alias("path")).distinct(), ledger)
-    found = found.where(F.size("findings") > 0).select(F.col("blob").alias("f_blob"), "findings")
-    rows = docs.withColumn("_blob", secret_scan.address(F.col("text")))
-    joined = rows.join(found, rows["_blob"] == found["f_blob"], "left")
-    clean = F.when(F.col("findings").isNull(), F.col("text")).otherwise(secret_scan.redact(F.col("text"), F.col("findings")))
-    return joined.withColumn("text", clean).withColumn(
-        "n_chars", F.when(F.col("findings").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long"))
-    ).select(*docs.columns)
+    found = found.where(F.size("findings") > 0).select("blob", "findings")
+    packed = docs.select(F.struct("*").alias("row"), secret_scan.address(F.col("text")).alias("blob"))
+    text = F.col("row").getField("text")
+    clean = F.when(F.col("findings").isNull(), text).otherwise(secret_scan.redact(text, F.col("findings")))
+    joined = packed.join(found, "blob", "left").select("row", "findings", clean.alias("clean"))
+    length = F.when(F.col("findings").isNull(), F.col("row").getField("n_chars")).otherwise(F.length("clean").cast("long"))
+    changed = {"text": F.col("clean"), "n_chars": length}
+    return joined.select(*[changed.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -88,5 +96,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        done = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        discard(docs)
+        docs = done
     return docs
