@@ -199,3 +199,13 @@ def test_audit_of_composite_keys_and_hot_references(spark, monkeypatch):
                    ("unique", "line_total,quantity"): 3, ("foreign_key", "order_id"): 1}
     orders = {(r.rule, r.columns): r.violations for r in audit_star(s, ["fact_order"]).collect()}
     assert orders["foreign_key", "customer_id"] == 2
+
+
+def test_a_header_that_comes_twice_counts_once(spark):
+    from tillscope.plans import customers
+
+    d = dt.date(2020, 1, 5)
+    twice = order(1, 1, d, 10)
+    s = make_star(spark, [customer(1, created=d)], [product(1)], [twice, twice, order(2, 1, d, 30)], [])
+    assert customers.customer_lifetime_value(s).first().total_orders == 2
+    assert [r.orders for r in customers.signup_cohorts(s).collect()] == [2]

@@ -171,9 +171,9 @@ def signup_cohorts(star: Star) -> DataFrame:
     o = star.completed_orders().select("order_id", "customer_id", "order_date_id", "order_total")
     o = with_calendar(star, o, "year", "month")
     c = star.customer.select("customer_id", month_start("created_date").alias("cohort_month"))
-    # order ids are the primary key, so a count is a distinct count, and each
-    # customer's months can be summed up before they meet the customer table
-    per = o.groupBy("customer_id", "year", "month").agg(F.count("order_id").alias("_n"), F.sum("order_total").alias("_total"))
+    # an order is one customer's and one day's, so each customer's months can be
+    # counted and summed up before they meet the customer table
+    per = o.groupBy("customer_id", "year", "month").agg(F.countDistinct("order_id").alias("_n"), F.sum("order_total").alias("_total"))
     g = per.join(c, "customer_id").groupBy("cohort_month", "year", "month").agg(
         F.sum("_n").alias("orders"), money(F.sum("_total")).alias("revenue"))
     return g.orderBy(F.col("cohort_month").asc_nulls_last(), "year", "month")

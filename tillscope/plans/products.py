@@ -68,9 +68,13 @@ def _margin(star: Star) -> DataFrame:
 
 
 def _build_margin(star: Star) -> DataFrame:
-    pm = _product_month(star)
-    p = star.product.select("product_id", "category", "subcategory", "cost")
-    j = pm.join(p, "product_id")
+    return margin_of(_product_month(star), star.product)
+
+
+def margin_of(product_month: DataFrame, product: DataFrame) -> DataFrame:
+    """Exact revenue and cost by category and month from (product_id, year, month, _rev, _qty)."""
+    p = product.select("product_id", "category", "subcategory", "cost")
+    j = product_month.join(p, "product_id")
     return j.groupBy("category", "subcategory", "year", "month").agg(
         F.sum("_rev").alias("_rev"), F.sum(F.col("_qty") * F.col("cost")).alias("_cost"))
 
@@ -88,7 +92,10 @@ def category_margin_monthly(star: Star) -> DataFrame:
     Margin is 0 when revenue is 0; lines of products without a cost count in
     revenue but not in cost.
     """
-    m = _margin(star)
+    return margin_view(_margin(star))
+
+
+def margin_view(m: DataFrame) -> DataFrame:
     return m.select("category", "subcategory", "year", "month", *_margin_cols(m))
 
 

@@ -12,7 +12,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillscope.plans import basket, cohorts, customers, forecast, products, revenue, segments, warehouse
+from tillscope.plans import basket, cohorts, customers, forecast, hot_orders, products, reach, revenue, segments, summaries, warehouse
 from tillscope.sources.driver import driver_star
 from tillscope.sources.star import Star
 
@@ -68,6 +68,14 @@ PLANS: dict[str, Callable[[Star], DataFrame]] = {
     "association_rules_min2": partial(basket.association_rules, min_orders=2),
     "top_pairs_min2": partial(basket.top_pairs, min_orders=2),
     "top_rules_min2": partial(basket.top_rules, min_orders=2),
+    # roll-ups, batches and skew
+    "customer_reach": reach.customer_reach,                 # A4, A13
+    "category_orders": reach.category_orders,               # A4, V3
+    "summarized_days": summaries.summarized_days,           # V1, L5
+    "summarized_channels": summaries.summarized_channels,   # V2, L5
+    "summarized_categories": summaries.summarized_categories,  # V3, L5
+    "summarized_margin": summaries.summarized_margin,       # V10, L5
+    "hot_order_revenue": hot_orders.hot_order_revenue,      # J2
     # forecast
     "monthly_moving_average": forecast.monthly_moving_average,  # B14
     "naive_forecast": forecast.naive_forecast,              # B15
