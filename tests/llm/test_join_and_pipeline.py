@@ -82,6 +82,79 @@ def test_join_finds_longer_versions(docs_of):
         assert {r.doc_id: r.component_id for r in out} == expected
 
 
+def edited(rnd, base, edits, tag):
+    """``base`` with as many words, spread out, replaced by new ones."""
+    own, step = list(base), len(base) // max(1, edits)
+    for k in range(edits):
+        own[k * step + rnd.randrange(max(1, step - 8))] = f"{tag}e{k}"
+    return " ".join(own)
+
+
+def test_join_of_sizes_around_the_threshold(docs_of):
+    """Pairs of every size, cut, lengthened and edited so that similarities lie closely on both sides of the threshold."""
+    rnd = random.Random(17)
+    rows = []
+    for k in range(260):
+        base = [f"k{k}w{i}" for i in range(rnd.choice([4, 5, 6, 8, 11, 16, 17, 31, 33, 60, 64, 65, 120, 257]) + rnd.randrange(3))]
+        other = list(base)
+        for _ in range(rnd.randint(0, max(1, len(base) // 40))):
+            other[rnd.randrange(len(other))] = f"k{k}x{rnd.randrange(99)}"
+        cut = rnd.randint(0, max(1, len(base) // 8))
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(other[cut:] + [f"k{k}y{i}" for i in range(rnd.randint(0, cut))]))]
+    for share in (60, 85):
+        expected = brute(rows, 4, share)
+        linked = sum(i != c for i, c in expected.items())
+        assert 40 < linked < 240
+        out = ngram_join.near_duplicates(docs_of(rows), n=4, share=share).collect()
+        assert {r.doc_id: r.component_id for r in out} == expected
+
+
+def test_group_just_below_the_threshold_stays_linear(docs_of, monkeypatch):
+    """300 near copies of one text, of one length, whose similarities lie just below the threshold, met row by row."""
+    rnd = random.Random(19)
+    base = [f"w{i}" for i in range(150)]
+    rows = [(k, edited(rnd, base, 2, f"d{k}")) for k in range(300)] + [(k, " ".join(base)) for k in range(300, 310)]
+    met = []
+    true = ngram_join._worth
+    monkeypatch.setattr(ngram_join, "_worth", lambda rows_met, share: met.append(rows_met.count()) or true(rows_met, share))
+    out = ngram_join.near_duplicates(docs_of(rows), n=4, share=93).collect()
+    assert {r.doc_id: r.component_id for r in out} == brute(rows, 4, 93)
+    assert len(met) == 2 and max(met) < 20 * len(rows)  # all pairs would be 45,000 for every shared token
+
+
+def test_bands_cover_every_size(spark):
+    rows = spark.range(1, 5000).select(
+        F.col("id"), ngram_join._band(F.col("id")).alias("band")).select("*", ngram_join._band_start(F.col("band")).alias("start")).collect()
+    for a, b in zip(rows, rows[1:], strict=False):
+        assert a.band <= b.band and a.start <= a.id and (a.band == b.band or b.start == b.id)
+
+
+def test_registered_join_equals_its_sql(docs_of, spark, tmp_path):
+    import duckdb
+
+    from tillscope.llm.queries import oracle_sql, queries
+
+    docs_of(corpus()).select("doc_id", "text").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    rel = con.sql(oracle_sql()["op4_ngram_join"])
+    got = queries()["op4_ngram_join"](spark, str(tmp_path)).select(*rel.columns).collect()
+    key = lambda r: tuple((x is None, x or 0) for x in r)
+    assert sorted(map(tuple, got), key=key) == sorted(rel.fetchall(), key=key)
+
+
+def test_join_leaves_no_tables_behind(docs_of, spark):
+    import os
+
+    folder = spark.sparkContext.getCheckpointDir() or ngram_join.written(spark.range(1), "probe") and spark.sparkContext.getCheckpointDir()
+    folder = folder.removeprefix("file:")
+    parent = os.path.dirname(folder.rstrip("/"))
+    count = lambda: sum(name.startswith("llm-") for _, names, _ in os.walk(parent) for name in names)
+    before = count()
+    ngram_join.near_duplicates(docs_of(corpus()), n=4, share=85).collect()
+    assert count() - before <= 8  # what the lazy result still reads
+
+
 def test_join_of_empty_table(docs_of):
     assert ngram_join.near_duplicates(docs_of([(1, "a b")]).limit(0)).count() == 0
 
@@ -126,3 +199,43 @@ def test_pipeline_stages(docs_of, spark, tmp_path):
     spark.createDataFrame([], docs.schema).write.parquet(f"{tmp_path}/none/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/none/labels.parquet")
     assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_stages_keep_columns_of_any_name(spark, tmp_path):
+    """Columns named like the stages' own, repeated ids with different texts, rows without id, a long text: values stay."""
+    words = lambda tag, n: " ".join(f"{tag}plain{j}" for j in range(n))
+    texts = [(i, f"A quiet line about gardens {words(f'k{i}', 14)} and then a few others at the end") for i in range(40)]
+    texts += [(3, f"Something else altogether {words('other', 20)} under a known number"), (None, texts[4][1]), (None, None),
+              (50, words("long", 20_000)), (51, texts[5][1]), (5, texts[5][1]), (52, texts[6][1] + ' token = "abcdefgh12345678"')]
+    names = ["findings", "_key", "_blob", "row", "score", "r_id", "r_key", "key", "tie", "blob", "clean", "kept", "rejected",
+             "_toxic_rejected", "f_blob", "group", "a.b"]
+    rows = [(i, t, "en", "s", len(t or ""), *[f"{c}{k}" for c in names]) for k, (i, t) in enumerate(texts)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in names)
+    docs = spark.createDataFrame(rows, schema)
+    spark.createDataFrame([(i, 1, 0) for i in range(40)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, str(tmp_path))
+        if name == "packing":
+            assert {r.doc_id for r in out.select("doc_id").collect()} == {i for i, _ in texts}
+            continue
+        assert out.columns == docs.columns
+        got = out.collect()
+        kept[name] = sorted(r["_key"] for r in got)
+        original = {r[-len(names) + 1]: r for r in rows}
+        for r in got:
+            own = original[r["_key"]]
+            assert tuple(r)[5:] == own[5:] and r.doc_id == own[0]
+            assert name == "secrets" or r.text == own[1]
+        if name == "secrets":
+            assert "abcdefgh12345678" not in next(r.text for r in got if r.doc_id == 52)
+            assert all(r.n_chars == len(r.text or "") for r in got)
+    every = [f"_key{k}" for k in range(len(rows))]
+    assert kept["toxicity"] == kept["secrets"] == sorted(every)
+    assert set(every[:40]) <= set(kept["quality"]) and "_key42" not in kept["quality"]
+    # the copy without an id, the copy under a larger id, the near copy, and one of two rows of one id and text
+    gone = set(every) - set(kept["near_duplicates"])
+    assert len(gone) == 4 and gone - {"_key5", "_key45"} == {"_key41", "_key44", "_key46"}
+    none = docs.limit(0)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, none, str(tmp_path)).count() == 0 and stage(spark, none, str(tmp_path)).columns == docs.columns

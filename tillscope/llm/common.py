@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
+import weakref
 from pathlib import Path
 
 import pyarrow as pa
@@ -47,12 +48,28 @@ def shared_folder(spark: SparkSession, tag: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/llm-{tag}-{uuid.uuid4().hex}"
 
 
+#: Where ``written`` tables lie, for ``discard``.
+_PATHS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
 def written(df: DataFrame, tag: str) -> DataFrame:
     """Write to the shared folder and read back: lineage ends there, and any executor can read it."""
     spark = df.sparkSession
     path = shared_folder(spark, tag)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    _PATHS[table] = path
+    return table
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Delete the files of ``written`` tables that nothing reads any more; others are left alone."""
+    for table in tables:
+        path = _PATHS.pop(table, None) if table is not None else None
+        if path:
+            spark = table.sparkSession
+            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

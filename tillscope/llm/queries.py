@@ -140,6 +140,7 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     sql = {
         "op1_secret_scans": _op1_sql(),
+        "op4_ngram_join": sql_checks.ngram_join_sql(),
         "op5_url_filters": OP5_SQL,
         "op11_vector_codes": sql_checks.vector_codes_sql(),
         "op12_periodic_runs": sql_checks.periodic_runs_sql(),

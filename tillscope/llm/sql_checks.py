@@ -1,8 +1,38 @@
-"""DuckDB SQL of the vector code and periodic run queries, by plain comparison of everything with everything that matters."""
+"""DuckDB SQL of the shingle join, vector code and periodic run queries, by plain comparison of everything with everything that matters."""
 
 from __future__ import annotations
 
 
+def ngram_join_sql(n: int = 4, share: int = 85) -> str:
+    """All pairs that share a shingle, their whole overlaps, and what links reach."""
+    return f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS n, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents
+),
+sets AS MATERIALIZED (
+  SELECT n, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {n} THEN [array_to_string(w, ' ')]
+         ELSE list_distinct(list_transform(range(1, len(w) - {n - 2}), lambda i: array_to_string(w[i : i + {n - 1}], ' '))) END AS s
+  FROM docs
+),
+tokens AS MATERIALIZED (SELECT n, unnest(s) AS t FROM sets),
+shared AS (SELECT x.n AS a, y.n AS b, count(*) AS c FROM tokens x JOIN tokens y ON x.t = y.t AND x.n < y.n GROUP BY x.n, y.n),
+links AS MATERIALIZED (
+  SELECT DISTINCT x.doc_id AS a, y.doc_id AS b FROM shared JOIN sets x ON x.n = a JOIN sets y ON y.n = b
+  WHERE 100 * c >= {share} * (len(x.s) + len(y.s) - c) AND x.doc_id <> y.doc_id
+),
+ends AS MATERIALIZED (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reached AS (
+  WITH RECURSIVE steps(a, b) AS (SELECT a, b FROM ends UNION SELECT steps.a, ends.b FROM steps JOIN ends ON steps.b = ends.a)
+  SELECT a, min(b) AS least_id FROM steps GROUP BY a
+)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, least(doc_id, coalesce(least_id, doc_id)) AS component_id
+FROM sets LEFT JOIN reached ON reached.a = doc_id
+"""
+
+
 def vector_codes_sql(parts: int = 16, entries: int = 64, rounds: int = 2, scale: int = 256) -> str:
     """Nearest entries by computing all distances; rounds unrolled."""
     steps = []
