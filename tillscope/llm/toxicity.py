@@ -200,14 +200,17 @@ class Restorer:
                 out.append((int(i), int(i) + 5))
         gaps = np.flatnonzero(space)
         begin, at = 0, np.searchsorted(gaps, places)
-        taken = list(out)
+        taken, t = list(out), 0  # both in text order, so one walk along the taken spans serves all tokens
         for g in np.unique(at):
             begin = int(gaps[g - 1]) + 1 if g else 0
             end = int(gaps[g]) if g < len(gaps) else n
             token = text[begin:end]
             end -= len(token) - len(_tail.sub("", token))
             begin += len(token) - len(token.lstrip("\"'([{<"))
-            if begin < end and not any(a < end and begin < b for a, b in taken) and not _plain(text[begin:end]):
+            while t < len(taken) and taken[t][1] <= begin:
+                t += 1
+            free = t == len(taken) or taken[t][0] >= end
+            if begin < end and free and not _plain(text[begin:end]):
                 out.append((begin, end))
         return sorted(out)
 
@@ -303,7 +306,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, max_featu
         return Model(trigrams, {}, (0.0, 0.0), -40.0)
     sent = spark.sparkContext.broadcast(trigrams)
     ids = F.broadcast(spark.createDataFrame([(r.doc_id, int(r.toxic)) for r in chosen], "doc_id long, toxic int"))
-    labelled = docs.select("doc_id", "text").join(ids, "doc_id").select("toxic", "text")
+    # of an id with several rows one text: sample_rows rows
+    labelled = docs.select("doc_id", "text").join(ids, "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("toxic", "text")
 
     def count(batches):
         restorer, counts = Restorer(sent.value), (Counter(), Counter())
