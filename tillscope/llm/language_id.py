@@ -53,17 +53,17 @@ def learn_dictionaries(
     by_hash = Window.partitionBy("lang", "class").orderBy("hash", "doc_id")
     each = -(-docs_per_lang // HASH_CLASSES)
     chosen = (
-        rows.select("doc_id", "lang", F.xxhash64("doc_id").alias("hash"))
+        rows.select("doc_id", "lang").distinct().withColumn("hash", F.xxhash64("doc_id"))
         .withColumn("class", F.pmod(F.xxhash64(F.lit("class"), "doc_id"), F.lit(HASH_CLASSES)))
         .withColumn("k", F.row_number().over(by_hash)).where(F.col("k") <= each).select("doc_id", "lang", "hash")
     )
     langs = rows.select("lang").distinct().limit(MAX_LANGS + 1).count()
     if langs > MAX_LANGS:
         raise ValueError(f"more than {MAX_LANGS} languages")
-    excerpts = (  # docs_per_lang x MAX_LANGS narrow rows at most
+    excerpts = (  # of an id with several rows one text: docs_per_lang x MAX_LANGS narrow rows at most
         rows.join(F.broadcast(chosen), ["doc_id", "lang"])
-        .select("lang", "hash", F.substring("text", 1, EXCERPT).alias("text"))
-        .collect()
+        .groupBy("doc_id", "lang", "hash").agg(F.min(F.substring("text", 1, EXCERPT)).alias("text"))
+        .select("lang", "hash", "text").collect()
     )
     parts: dict[str, list[str]] = {}
     for row in sorted(excerpts, key=lambda r: (r.lang, r.hash, r.text)):
