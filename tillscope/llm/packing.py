@@ -5,9 +5,9 @@ most ``seq_len`` ids, and the pieces are packed by first-fit decreasing: the
 longest piece first, each into the first sequence with room, found in
 O(log n) in a tournament tree whose inner nodes hold the largest free room
 below them.  Packing runs in randomised groups of about ``group_docs``
-documents: each piece is dealt to a group by a hash of its document and
-position, so that no document, source or group of copies fills one group, and
-groups are packed independently.
+documents: each piece is dealt to a group by a hash of its document, position
+and ids, so that no document, source, group of copies or repeated id fills one
+group, and groups are packed independently.
 
 Words repeat far more often than they change, so a worker keeps the ids of
 words it has met (``CACHE_WORDS`` at most, then it starts afresh); the tests
@@ -178,5 +178,6 @@ def pack_documents(
         )
 
     pieces = cut_documents(docs, tokenizer_path, seq_len, end_id, id_col, text_col)
-    group = F.pmod(F.xxhash64(F.lit(seed), F.coalesce("doc_id", F.lit(0)), "start"), F.lit(groups))
+    # the ids too: rows without an id, or of one repeated id, are dealt by what they hold
+    group = F.pmod(F.xxhash64(F.lit(seed), F.coalesce("doc_id", F.lit(0)), "start", "ids"), F.lit(groups))
     return pieces.withColumn("pack_group", group).groupBy("pack_group").applyInArrow(pack, PIECES)
