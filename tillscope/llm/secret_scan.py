@@ -89,21 +89,21 @@ def find_spans(blobs: DataFrame, rules: list[Rule]) -> DataFrame:
     least = F.create_map(*[F.lit(x) for r in rules for x in (r.kind, r.least)])
     # explode_outer: no filter on the array is inferred, which would run every pattern twice
     hits = (
-        blobs.withColumn("copy", F.monotonically_increasing_id()).select("blob", "copy", F.explode_outer(F.array(*[_hits(r) for r in rules])).alias("hit"))
+        blobs.select("blob", F.explode_outer(F.array(*[_hits(r) for r in rules])).alias("hit"))
         .where("hit is not null")
-        .select("blob", "copy", "hit.kind", "hit.version", F.posexplode(F.arrays_zip("hit.pieces", "hit.matches", "hit.groups")))
-        .select("blob", "copy", "kind", "version", "pos", "col.pieces", "col.matches", "col.groups")
+        .select("blob", "hit.kind", "hit.version", F.posexplode(F.arrays_zip("hit.pieces", "hit.matches", "hit.groups")))
+        .select("blob", "kind", "version", "pos", "col.pieces", "col.matches", "col.groups")
+        .repartition("blob", "kind").dropDuplicates(["blob", "kind", "pos"])  # a row repeated whole comes twice
     )
-    along = Window.partitionBy("copy", "kind").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    along = Window.partitionBy("blob", "kind").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     end = F.sum(F.col("pieces") + F.coalesce("matches", F.lit(0))).over(along).cast("int")
     return (
         hits.withColumn("end", end)
         .where(F.col("matches").isNotNull() & (F.col("groups") >= least[F.col("kind")]))
-        .groupBy("blob", "copy")
+        .groupBy("blob")
         .agg(F.array_sort(F.collect_list(F.struct(
             (F.col("end") - F.col("matches")).alias("start"), order[F.col("kind")].alias("order"), "end", "kind", "version",
         ).cast(FINDING))).alias("findings"))
-        .groupBy("blob").agg(F.min("findings").alias("findings"))  # a row repeated whole comes twice
     )
 
 
