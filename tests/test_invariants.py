@@ -99,3 +99,13 @@ def test_status_predicates_reach_the_scan(spark):
         assert f"EqualTo(o_orderstatus,{code})" in plan
         assert df.count() == s.orders.where(F.col("order_status") == status).count()
     assert s.orders_with_status("Unknown").count() == 0
+
+
+def test_unused_geography_is_not_read(spark):
+    from tillscope.plans import cohorts
+
+    s = driver_star(spark, SMOKE)
+    for plan, read in ((customers.rfm_base, False), (customers.segment_order_size, False), (cohorts.cohort_retention, False),
+                       (customers.customer_lifetime_value, True)):
+        text = spark.sparkContext._jvm.PythonSQLUtils.explainString(plan(s)._jdf.queryExecution(), "formatted")
+        assert ("nation.parquet" in text) == ("region.parquet" in text) == read, plan.__name__
