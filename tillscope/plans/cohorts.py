@@ -34,9 +34,9 @@ def cohort_retention(star: Star) -> DataFrame:
     """V8: per (cohort month, activity month): months since start, cohort size, active customers, retention %."""
     cm = customer_months(star)
     stats = cm.groupBy("cohort_month", "activity_month").agg(F.count(F.lit(1)).alias("active_customers"))
-    sizes = (stats.where(F.col("activity_month") == F.col("cohort_month"))
-             .select("cohort_month", F.col("active_customers").alias("cohort_size")))
-    j = stats.join(sizes, "cohort_month")
+    # the count at the cohort's own month, over the few rows of a cohort (one a calendar month)
+    own = F.when(F.col("activity_month") == F.col("cohort_month"), F.col("active_customers"))
+    j = stats.withColumn("cohort_size", F.max(own).over(Window.partitionBy("cohort_month")))
     return j.select(
         "cohort_month", "activity_month",
         months_between_starts("activity_month", "cohort_month").alias("months_since_cohort_start"),
