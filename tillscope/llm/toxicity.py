@@ -306,8 +306,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, max_featu
         return Model(trigrams, {}, (0.0, 0.0), -40.0)
     sent = spark.sparkContext.broadcast(trigrams)
     ids = F.broadcast(spark.createDataFrame([(r.doc_id, int(r.toxic)) for r in chosen], "doc_id long, toxic int"))
-    # of an id with several rows one text: sample_rows rows
-    labelled = docs.select("doc_id", "text").join(ids, "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("toxic", "text")
+    labelled = docs.select("doc_id", "text").join(ids, "doc_id").select("doc_id", "toxic", "text")
 
     def count(batches):
         restorer, counts = Restorer(sent.value), (Counter(), Counter())
@@ -330,7 +329,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, max_featu
         yield flush()
 
     counted = (
-        labelled.dropDuplicates(["text"]).mapInArrow(count, "feature string, clean long, toxic long")
+        labelled.select("toxic", "text").dropDuplicates(["text"]).mapInArrow(count, "feature string, clean long, toxic long")
         .groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     )
     seen = counted.where(F.col("toxic") >= 5).collect()  # features of sample_rows texts, frequent ones only
@@ -348,7 +347,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, max_featu
     for _, feature, odds in sorted(ratios, reverse=True)[:max_features]:
         weights[feature] = odds
     model = Model(trigrams, weights, (0.0, 0.0), 0.0)
-    points = score(labelled, model, ["toxic"]).select("toxic", "largest", "weight").collect()  # sample_rows rows of numbers
+    # of an id with several rows the most toxic one: sample_rows rows of numbers
+    points = score(labelled, model, ["doc_id", "toxic"]).groupBy("doc_id", "toxic").agg(
+        F.max("largest").alias("largest"), F.max("weight").alias("weight")).collect()
     *slopes, model.offset = _logistic(
         np.array([(r.largest, math.log1p(r.weight), 1.0) for r in points]), np.array([float(r.toxic) for r in points]))
     model.slopes = tuple(slopes)
