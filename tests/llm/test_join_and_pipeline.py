@@ -116,7 +116,7 @@ def test_group_just_below_the_threshold_stays_linear(docs_of, monkeypatch):
     rows = [(k, edited(rnd, base, 2, f"d{k}")) for k in range(300)] + [(k, " ".join(base)) for k in range(300, 310)]
     met = []
     true = ngram_join._worth
-    monkeypatch.setattr(ngram_join, "_worth", lambda rows_met, share: met.append(rows_met.count()) or true(rows_met, share))
+    monkeypatch.setattr(ngram_join, "_worth", lambda rows_met, share, **kw: met.append(rows_met.count()) or true(rows_met, share, **kw))
     out = ngram_join.near_duplicates(docs_of(rows), n=4, share=93).collect()
     assert {r.doc_id: r.component_id for r in out} == brute(rows, 4, 93)
     assert len(met) == 2 and max(met) < 20 * len(rows)  # all pairs would be 45,000 for every shared token

@@ -17,9 +17,9 @@ the component of every document.
 3. Tokens in the prefix of one document only are dropped.  In pivot rounds each
    token's documents are compared with one of them, which takes linearly many
    pairs and joins most of a large group of near copies.  The first pivots are
-   the documents with most exact copies, then those with the fewest rarer tokens,
-   which near copies most often stem from; further rounds choose by hash.  Only pairs
-   that share enough tokens within the prefixes of their two sizes are verified.
+   the documents with most exact copies, then those with the fewest tokens of their
+   own, which near copies most often stem from; further rounds choose by hash.  Only
+   pairs that share a token within the prefixes of their two sizes are verified.
 4. Tokens whose documents are still in different components and make many pairs
    are dealt by size bands: sizes fall into sixteen bands an octave, and a document enters one
    bucket of a token for every band its partners' sizes may lie in, if the token
@@ -199,7 +199,7 @@ def choose_matches(cost: np.ndarray, size: int, share: int) -> int:
 
 
 def _prefix_tokens(docs: DataFrame, sketch: np.ndarray, n: int, share: int) -> DataFrame:
-    """(token, doc_id, size, place, matches) of every row's prefix."""
+    """(token, doc_id, size, place, matches, lone) of every row's prefix; ``lone``: its tokens that no other document seems to hold."""
     noise = float(np.median(sketch_counts(sketch[: 1 << 20])))
     noise += 2 * np.sqrt(noise) + 1  # what a counter holds besides, and the document itself
     sent = docs.sparkSession.sparkContext.broadcast(sketch)  # 2^SKETCH_BITS counters
@@ -215,9 +215,11 @@ def _prefix_tokens(docs: DataFrame, sketch: np.ndarray, n: int, share: int) -> D
                         continue
                     often = counts[tokens >> np.uint64(64 - SKETCH_BITS)]
                     order = np.lexsort((tokens, often))
-                    matches = choose_matches(np.maximum(sketch_counts(often[order]) - noise, 0), size, share)
-                    chosen = tokens[order[: prefix_length(size, matches, share)]].view(np.int64)
-                    out.append((doc_id, size, matches, chosen))
+                    cost = np.maximum(sketch_counts(often[order]) - noise, 0)
+                    matches = choose_matches(cost, size, share)
+                    handed = prefix_length(size, matches, share)
+                    chosen = tokens[order[:handed]].view(np.int64)
+                    out.append((doc_id, size, matches, chosen, int((cost[:handed] == 0).sum())))
                 if not out:
                     continue
                 lengths = [len(x[3]) for x in out]
@@ -225,9 +227,9 @@ def _prefix_tokens(docs: DataFrame, sketch: np.ndarray, n: int, share: int) -> D
                 place = np.concatenate([np.arange(k, dtype=np.int32) for k in lengths])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate([x[3] for x in out])), repeat(0, np.int64), repeat(1, np.int32), pa.array(place),
-                     repeat(2, np.int32)], ["token", "doc_id", "size", "place", "matches"])
+                     repeat(2, np.int32), repeat(4, np.int32)], ["token", "doc_id", "size", "place", "matches", "lone"])
 
-    return docs.mapInArrow(run, "token long, doc_id long, size int, place int, matches int")
+    return docs.mapInArrow(run, "token long, doc_id long, size int, place int, matches int, lone int")
 
 
 def _band(size: Column) -> Column:
@@ -313,10 +315,12 @@ def _as(side: str, *columns: str) -> list[Column]:
     return [F.col(c).alias(f"{c}_{side}") for c in ("doc_id", "size", "place", "matches", "label", *columns)]
 
 
-def _worth(met: DataFrame, share: int) -> DataFrame:
+def _worth(met: DataFrame, share: int, all_shared: bool = True) -> DataFrame:
     """(a, b) of the rows met (entries _a and _b of a shared token) that share as many prefix tokens as both ask for and may reach the threshold.
 
-    ``met`` holds a row for every token that a pair shares within its prefixes.
+    With ``all_shared``, ``met`` holds a row for every token that a pair shares
+    within its prefixes; otherwise some of them, so that counts bound nothing
+    and every pair met within its prefixes is worth it.
     """
     asked = F.least("matches_a", "matches_b")
     sizes = (F.col("size_a") + F.col("size_b")).cast("long")
@@ -326,6 +330,8 @@ def _worth(met: DataFrame, share: int) -> DataFrame:
     fitting = met.where(
         (F.col("label_a") != F.col("label_b")) & inside
         & _can_link(F.least("size_a", "size_b"), F.col("size_a"), F.col("size_b"), share))
+    if not all_shared:
+        return fitting.select(F.least("doc_id_a", "doc_id_b").alias("a"), F.greatest("doc_id_a", "doc_id_b").alias("b")).distinct()
     pairs = fitting.groupBy(F.least("doc_id_a", "doc_id_b").alias("a"), F.greatest("doc_id_a", "doc_id_b").alias("b")).agg(
         F.count(F.lit(1)).alias("common"), F.max(asked).alias("asked"), F.max("size_a").alias("x"), F.max("size_b").alias("y"),
         F.least(F.min(F.col("size_a") - F.col("place_a")), F.min(F.col("size_b") - F.col("place_b"))).alias("behind"))
@@ -336,13 +342,18 @@ def _worth(met: DataFrame, share: int) -> DataFrame:
 
 
 def _pivot_pairs(entries: DataFrame, round_: int, share: int) -> DataFrame:
-    """Pairs of every document with the pivots of its tokens: most copies, then fewest rarer tokens; in later rounds by hash."""
-    rank = F.xxhash64(F.lit(round_), "doc_id") if round_ else F.struct(-F.col("copies"), "place")
+    """Pairs of every document with the pivots of its tokens: most copies, then fewest tokens of its own; in later rounds by hash.
+
+    A rank is a document's, not a token's, so that one document is the pivot of
+    most tokens of its group.
+    """
+    hashed = F.xxhash64(F.lit(round_), "doc_id")
+    rank = hashed if round_ else F.struct((-F.col("copies")).alias("c"), "lone", hashed.alias("h"))
     entry = F.struct(rank.alias("rank"), *[F.col(c) for c in ("doc_id", "size", "place", "matches", "label")])
     pivots = written(
         entries.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min(entry).alias("pivot"))
         .where("low < high").select("token", "pivot.*").select("token", *_as("b")), "pivots")
-    pairs = written(_worth(entries.select("token", *_as("a")).join(pivots, "token"), share), "pairs")
+    pairs = written(_worth(entries.select("token", *_as("a")).join(pivots, "token"), share, all_shared=False), "pairs")
     discard(pivots)
     return pairs
 
