@@ -60,10 +60,15 @@ def test_disguised_tokens_are_found_in_linear_time(spark):
     assert took[1] < 24 * took[0]  # eight times the text
 
 
-def test_a_repeated_id_is_one_row_of_the_toxicity_sample(docs_of, spark):
-    rows = [(i, f"you idiot number {i}" if i % 2 else f"a quiet line {i}") for i in range(60)] + [(1, f"hot {k}") for k in range(40)]
+def test_a_repeated_id_is_one_point_of_the_toxicity_sample(docs_of, spark, monkeypatch):
+    """All texts of an id teach words; the curve gets one point an id, so the driver gets as many rows as were sampled."""
+    rows = [(i, f"you idiot number {i}" if i % 2 else f"a quiet line {i}") for i in range(60)] + [(1, f"you idiot again {k}") for k in range(40)]
     labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    points = []
+    true = toxicity._logistic
+    monkeypatch.setattr(toxicity, "_logistic", lambda x, y: points.append((x.shape, y.sum())) or true(x, y))
     model = toxicity.fit(docs_of(rows), labels)
+    assert points == [((60, 3), 30)]
     scores = {r.doc_id: r.score for r in toxicity.score(docs_of(rows[:60]), model, ["doc_id"]).collect()}
     assert min(scores[i] for i in range(3, 60, 2)) > max(scores[i] for i in range(0, 60, 2))
     none = toxicity.fit(docs_of([(1, "a")]).limit(0), labels)
