@@ -122,6 +122,19 @@ def test_group_just_below_the_threshold_stays_linear(docs_of, monkeypatch):
     assert len(met) == 2 and max(met) < 20 * len(rows)  # all pairs would be 45,000 for every shared token
 
 
+def test_rows_of_one_id_and_text_are_one_set(docs_of, monkeypatch):
+    """A row repeated whole 300 times, the pivot of its near copies, doesn't multiply what is verified."""
+    rnd = random.Random(23)
+    base = [f"w{i}" for i in range(120)]
+    rows = [(1, " ".join(base))] * 300 + [(k, edited(rnd, base, 1, f"d{k}")) for k in range(2, 42)]
+    seen = []
+    true = ngram_join._verified
+    monkeypatch.setattr(ngram_join, "_verified", lambda pairs, sets, share: seen.append((sets.count(), sets.select("doc_id").distinct().count())) or true(pairs, sets, share))
+    out = ngram_join.near_duplicates(docs_of(rows).repartition(5), n=4, share=85).collect()
+    assert {r.doc_id: r.component_id for r in out} == dict.fromkeys([1, *range(2, 42)], 1)
+    assert all(n == ids for n, ids in seen) and seen[0][0] == 41
+
+
 def test_bands_cover_every_size(spark):
     rows = spark.range(1, 5000).select(
         F.col("id"), ngram_join._band(F.col("id")).alias("band")).select("*", ngram_join._band_start(F.col("band")).alias("start")).collect()

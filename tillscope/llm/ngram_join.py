@@ -285,7 +285,7 @@ def _sets_of(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
                     [part["doc_id"], pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["doc_id", "tokens"])
 
     found = docs.mapInArrow(run, "doc_id long, tokens array<long>")
-    return written(found.join(ids, "doc_id", "left_semi"), "sets")
+    return written(found.join(ids, "doc_id", "left_semi").distinct(), "sets")  # rows of one id and text are one set
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
@@ -389,7 +389,7 @@ def find_links(docs: DataFrame, representatives: DataFrame, sketch: np.ndarray,
     several = written(
         tokens.groupBy("token").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("token"),
         "several")
-    held = written(tokens.join(several, "token").join(representatives, "doc_id"), "held")
+    held = written(tokens.join(several, "token").join(representatives, "doc_id").distinct(), "held")  # rows of one id and text are one
     discard(tokens, several)
     entries = _several(held)
     discard(held)
