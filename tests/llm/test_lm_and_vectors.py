@@ -48,6 +48,57 @@ def test_model_is_a_distribution_and_edges(docs_of):
     assert maxent_lm.score_texts(docs_of(rows).limit(0), model, counts, ["doc_id"]).count() == 0
 
 
+def test_history_chooses_among_the_words_of_a_class(docs_of):
+    # "tab" and "grab" share their last two bytes, so a class, and their count: only the history tells them apart
+    rows = [(i, "red tab" if i % 2 else "blue grab") for i in range(600)]
+    model, counts = maxent_lm.fit(docs_of(rows))
+    assert maxent_lm.class_of(b"tab") == maxent_lm.class_of(b"grab")
+    texts = ["red tab", "red grab", "blue tab", "blue grab"]
+    score = {r.doc_id: r.score for r in maxent_lm.score_texts(docs_of(list(enumerate(texts))), model, counts, ["doc_id"]).collect()}
+    assert score[0] > score[1] + 0.2 and score[3] > score[2] + 0.2
+
+
+def test_score_equals_brute_force_and_adds_up_to_one(docs_of):
+    rnd = random.Random(3)
+    rows = [(i, " ".join(rnd.choice(["aa", "ba", "ca", "xx", "yx", "é"]) for _ in range(rnd.randrange(9)))) for i in range(200)]
+    model, counts = maxent_lm.fit(docs_of(rows), head=2, cell_ridge=1.0)
+    trees, seen = model.trees, {bytes(r.word): r.n for r in counts.collect()}
+    assert np.abs(trees.cells).max() > 0
+    u32 = lambda x: x & 0xFFFFFFFF
+
+    def features(one, two):
+        a, b, c = maxent_lm._MIX
+        return [u32(one * a), u32((u32(two * b) ^ u32(u32(one * c) * 5)) * a), u32(two * c)]
+
+    def log_class(h):
+        logits = model.bias + sum(model.weights[x >> 18] for x in h)
+        return logits - np.log(np.exp(logits - logits.max()).sum()) - logits.max()
+
+    def log_leaf(class_, path, h):
+        out = 0.0
+        for level in range(trees.bits):
+            node = (class_ << trees.bits) + (1 << level) + (path >> (trees.bits - level))
+            key = u32(node * maxent_lm._MIX[1])
+            x = trees.bias[node] + sum(trees.cells[(3 * level + f) * maxent_lm.CELLS + (u32((v ^ key) * maxent_lm._MIX[0]) >> 18)] for f, v in enumerate(h))
+            out -= math.log1p(math.exp(-x if path >> (trees.bits - level - 1) & 1 else x))
+        return out
+
+    start = zlib.crc32(b" ")
+    for text, r in zip(["aa ba", "zz xx yx", ""], maxent_lm.score_texts(
+            docs_of([(0, "aa ba"), (1, "zz xx yx"), (2, "")]), model, counts, ["doc_id"]).orderBy("doc_id").collect(), strict=True):
+        one = two = start
+        want = 0.0
+        for word in [*maxent_lm.words_of(text), maxent_lm.END]:
+            h, c, path = features(one, two), maxent_lm.class_of(word), zlib.crc32(word) >> (32 - trees.bits)
+            leaf = 0.5**trees.bits + sum(n + 1 for w, n in seen.items() if maxent_lm.class_of(w) == c and zlib.crc32(w) >> (32 - trees.bits) == path)
+            want += log_class(h)[c] + log_leaf(c, path, h) + math.log((seen.get(word, 0) + 1) / leaf)
+            one, two = zlib.crc32(word), one
+        assert math.isclose(r.score, want / math.log(10), rel_tol=1e-4)
+    h = features(zlib.crc32(b"aa"), zlib.crc32(b"xx"))
+    leaves = [log_class(h)[c] + log_leaf(c, p, h) for c in range(maxent_lm.CLASSES) for p in range(1 << trees.bits)]
+    assert math.isclose(sum(map(math.exp, leaves)), 1, rel_tol=1e-4)
+
+
 def brute(vectors, query, k):
     own = np.array(vectors[query], float)
     found = [(-float(np.array(v, float) @ own), i) for i, v in vectors.items() if i != query]

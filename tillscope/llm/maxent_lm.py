@@ -1,24 +1,32 @@
-"""Language model scoring: a hashed maximum-entropy model over word classes.
-
-P(word | history) = P(class | history) * P(word | class).  The first factor is
-a softmax over ``CLASSES`` classes (the end of a text, and hashes of a word's
-last two bytes) whose logits add a bias and one row of a hashed weight table
-for each feature of the history: the previous word, the pair of words before,
-and the word before the previous one alone (a skip).  The second factor is the
-word's training count plus one over its class's, with one share left in every
-class for unseen words.
+"""Language model scoring: a hashed maximum-entropy model over word classes and the words inside them.
+
+P(word | history) = P(class | history) * P(word | class, history).  The first
+factor is a softmax over ``CLASSES`` classes (the end of a text, and hashes of a
+word's last two bytes) whose logits add a bias and one row of a hashed weight
+table for each feature of the history: the previous word, the pair of words
+before, and the word before the previous one alone (a skip).
+
+The second factor is a maximum-entropy choice too: the words of a class hang on
+a binary tree by the first bits of their hash, four leaves a word or more as long
+as ``MOST_BITS`` allow, and each node on a word's path is a logistic choice from
+the same three features, whose hashed cells depend on the node.  A node's bias
+is the log-odds of the training counts (plus one) below it, so that untrained
+cells give the counts' shares.  Words that share a leaf are told apart by their
+training count plus one over the leaf's; the share of one unseen word in every
+class is dealt evenly over its leaves.
 
 Training: counts are gathered over all training texts (tasks count their own
-words first).  The softmax is trained by synchronous distributed updates: the
+words first).  Both factors are trained by synchronous distributed updates: the
 training texts are dealt into ``rounds`` by a hash of their id, and in each
 round every task computes the gradient of its texts of that round, blocks of
 gradients are summed across tasks, and the driver takes one diagonally scaled
-step.  The weight table's size is fixed by parameters.
+step.  The weight tables' sizes are fixed by parameters.
 
 Scoring: counts of the most frequent words, ``head`` at most, are broadcast; all other words of a text leave the task as (text, word, times) rows
 and meet their counts in a join, so any vocabulary size is exact.
 
-Texts are handled in numpy blocks of about ``BLOCK_BYTES``.
+Texts are read in blocks of about ``BLOCK_BYTES`` and handled in numpy chunks of
+``CHUNK`` tokens, which stay in a core's cache.
 
 Defined cases: a null or empty text is the end token alone; a null id is in no
 fold but that of the empty id text; repeated rows are scored each; without
@@ -27,9 +35,11 @@ training rows every count is zero and the classes are uniform.
 
 from __future__ import annotations
 
+import math
 import zlib
 from array import array
 from collections import Counter
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -42,7 +52,10 @@ from tillscope.llm.common import crc_mod, slices, summed_blocks, written
 
 CLASSES = 25
 ROWS = 1 << 14
-BLOCK_ROWS = 1 << 10
+MOST_BITS = 14  #: levels of a class's tree at most
+CELLS = 1 << 14  #: weights of one feature on one level of the trees
+CHUNK = 1 << 14
+SUM_ITEMS = 1 << 16  #: numbers in one block of summed gradients
 BLOCK_BYTES = 2_000_000
 TASK_WORDS = 400_000  #: words a task counts before it hands them on
 END = b""  #: no word is empty
@@ -58,10 +71,21 @@ def class_of(word: bytes) -> int:
     return zlib.crc32(word[-2:]) % (CLASSES - 1) + 1 if word else 0
 
 
+@dataclass
+class Trees:
+    """The words inside the classes: nodes are numbered class * 2^bits + 2^level + the path's first bits."""
+
+    bits: int
+    bias: np.ndarray  #: log-odds of the right side, by node
+    leaf_mass: np.ndarray  #: counts plus one and unseen shares, by class * 2^bits + path
+    cells: np.ndarray  #: weights by (level, feature, hash)
+
+
 @dataclass
 class Model:
     weights: np.ndarray
     bias: np.ndarray
+    trees: Trees
     head: dict[bytes, int]  #: counts of the most frequent words and of the end
     tokens: int  #: N
     kinds: int  #: V
@@ -114,34 +138,80 @@ def _of(values: array, kind, codes: np.ndarray) -> np.ndarray:
     return np.frombuffer(values, kind)[codes]
 
 
-def _history(vocabulary: Vocabulary, codes: np.ndarray, sizes: np.ndarray):
-    """Positions of real tokens and the three feature rows of each."""
+def _features(vocabulary: Vocabulary, codes: np.ndarray, sizes: np.ndarray):
+    """Positions of real tokens and the hashes of the three features of each."""
     hashes = _of(vocabulary.hashes, np.uint32, codes)
     starts = np.cumsum(sizes + 2) - (sizes + 2)
     real = np.ones(len(codes), bool)
     real[starts] = real[starts + 1] = False
     at = np.flatnonzero(real)
     one, two = hashes[at - 1], hashes[at - 2]
-    shift = np.uint32(32 - ROWS.bit_length() + 1)
-    rows = [
-        ((one * np.uint32(_MIX[0])) >> shift).astype(np.uint16),
-        (((two * np.uint32(_MIX[1])) ^ (one * np.uint32(_MIX[2])) * np.uint32(5)) * np.uint32(_MIX[0]) >> shift).astype(np.uint16),
-        ((two * np.uint32(_MIX[2])) >> shift).astype(np.uint16),
+    return at, [
+        one * np.uint32(_MIX[0]),
+        ((two * np.uint32(_MIX[1])) ^ (one * np.uint32(_MIX[2])) * np.uint32(5)) * np.uint32(_MIX[0]),
+        two * np.uint32(_MIX[2]),
     ]
-    return at, rows
+
+
+def _rows(features: list[np.ndarray]) -> list[np.ndarray]:
+    """Rows of the class table."""
+    return [h >> np.uint32(32 - ROWS.bit_length() + 1) for h in features]
+
+
+def _history(vocabulary: Vocabulary, codes: np.ndarray, sizes: np.ndarray):
+    """Positions of real tokens and the three feature rows of each."""
+    at, features = _features(vocabulary, codes, sizes)
+    return at, _rows(features)
 
 
 def _softmax(model_weights: np.ndarray, bias: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
-    logits = model_weights[rows[0]]
+    logits = model_weights.take(rows[0], 0)
     for r in rows[1:]:
-        logits += model_weights[r]
+        logits += model_weights.take(r, 0)
     logits += bias
     logits -= logits.max(1, keepdims=True)
     np.exp(logits, out=logits)
-    logits /= logits.sum(1, keepdims=True)
+    logits /= (logits @ np.ones(CLASSES, np.float32))[:, None]
     return logits
 
 
+def grow_trees(leaves: Iterable[tuple[int, int, int]], bits: int) -> Trees:
+    """Untrained trees from (class, path, counts plus one) of every leaf that has words."""
+    mass = np.full(CLASSES << bits, 0.5**bits)  # a class's unseen word, dealt over its leaves
+    for class_, path, n in leaves:
+        mass[(class_ << bits) + path] += n
+    bias = np.zeros((CLASSES, 1 << bits), np.float32)
+    below = mass.reshape(CLASSES, -1)
+    for level in range(bits - 1, -1, -1):
+        bias[:, 1 << level : 2 << level] = np.log(below[:, 1::2] / below[:, ::2])
+        below = below[:, ::2] + below[:, 1::2]
+    return Trees(bits, bias.ravel(), mass, np.zeros(bits * 3 * CELLS, np.float32))
+
+
+def _choices(trees: Trees, classes: np.ndarray, hashes: np.ndarray, features: list[np.ndarray]):
+    """Level by level of the words' paths: the side taken (0 or 1), the logit of side 1 and the features' cells."""
+    bits = trees.bits
+    path = (hashes >> np.uint32(32 - bits)).astype(np.int32)
+    base = classes << bits
+    for level in range(bits):
+        node = base + (1 << level) + (path >> (bits - level))
+        key = node.astype(np.uint32) * np.uint32(_MIX[1])
+        cells = [(((h ^ key) * np.uint32(_MIX[0])) >> np.uint32(32 - CELLS.bit_length() + 1)).astype(np.intp) + (3 * level + f) * CELLS
+                 for f, h in enumerate(features)]
+        logit = trees.bias.take(node)
+        for c in cells:
+            logit += trees.cells.take(c)
+        yield path >> (bits - level - 1) & 1, logit, cells
+
+
+def _log_inside(trees: Trees, classes: np.ndarray, hashes: np.ndarray, features: list[np.ndarray]) -> np.ndarray:
+    """log10 of P(leaf | class, history) over the leaf's mass: what a word's count plus one is still to be multiplied by."""
+    inverse = trees.leaf_mass[(classes << trees.bits) + (hashes >> np.uint32(32 - trees.bits)).astype(np.int32)]
+    for side, logit, _ in _choices(trees, classes, hashes, features):
+        inverse *= 1.0 + np.exp(np.minimum(np.where(side, -logit, logit), 40)).astype(np.float64)
+    return -np.log10(inverse)
+
+
 def count_words(train: DataFrame) -> DataFrame:
     """``word`` (binary, the end as an empty word), ``class`` and ``n`` over all training texts."""
     def run(batches):
@@ -166,43 +236,62 @@ def count_words(train: DataFrame) -> DataFrame:
     return parts.groupBy("word", "class").agg(F.sum("n").alias("n"))
 
 
-def _gradient(docs: DataFrame, weights: np.ndarray, bias: np.ndarray):
-    """Summed gradient and feature counts of the texts: (rows x (classes + 1)) with the bias as a last block row."""
+def _gradient(docs: DataFrame, weights: np.ndarray, bias: np.ndarray, trees: Trees):
+    """Summed over the texts: the class table's gradient and feature counts (rows x (classes + 1), the bias as a
+    last row), and the gradient and curvature of the trees' cells (2 x cells)."""
     spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast((weights, bias))
-    width = CLASSES + 1
+    sent = spark.sparkContext.broadcast((weights, bias, trees))
+    width, cells = CLASSES + 1, len(trees.cells)
+    items = (ROWS + 1) * width + 2 * cells
 
     def run(batches):
-        w, b = sent.value
-        total = np.zeros((ROWS + 1, width), np.float32)
+        w, b, t = sent.value
+        expected = np.zeros(ROWS * CLASSES, np.float32)
+        expected_all, seen = np.zeros(CLASSES), np.zeros(ROWS * CLASSES, np.int64)
+        seen_all = np.zeros(CLASSES, np.int64)
+        inner = np.zeros((2, cells), np.float32)
         vocabulary = Vocabulary({END: 0})
+        columns = np.arange(CLASSES)
         for batch in batches:
             for part in slices(batch, "text", BLOCK_BYTES):
                 codes, sizes = vocabulary.codes(part["text"].to_pylist())
-                at, rows = _history(vocabulary, codes, sizes)
-                wrong = np.empty((len(at), width), np.float32)
-                wrong[:, :CLASSES] = -_softmax(w, b, rows)
-                wrong[:, CLASSES] = 1
-                wrong[np.arange(len(at)), _of(vocabulary.classes, np.int32, codes)[at]] += 1
-                total[ROWS] += wrong.sum(0)
-                for r in rows:
-                    order = np.argsort(r, kind="stable")
-                    by_row = r[order]
-                    first = np.flatnonzero(np.r_[True, by_row[1:] != by_row[:-1]])
-                    total[by_row[first]] += np.add.reduceat(wrong[order], first, axis=0)
-        if total[ROWS, CLASSES]:
-            starts = [*range(0, ROWS, BLOCK_ROWS), ROWS]
-            blocks = [total[a : a + BLOCK_ROWS] if a < ROWS else np.pad(total[ROWS:], ((0, BLOCK_ROWS - 1), (0, 0))) for a in starts]
+                at, features = _features(vocabulary, codes, sizes)
+                classes = _of(vocabulary.classes, np.int32, codes[at])
+                hashes = _of(vocabulary.hashes, np.uint32, codes[at])
+                seen_all += np.bincount(classes, minlength=CLASSES)
+                for r in _rows(features):
+                    seen += np.bincount(r.astype(np.intp) * CLASSES + classes, minlength=ROWS * CLASSES)
+                for a in range(0, len(at), CHUNK):
+                    own = [h[a : a + CHUNK] for h in features]
+                    rows = _rows(own)
+                    p = _softmax(w, b, rows)
+                    expected_all += p.sum(0)
+                    for r in rows:
+                        np.add.at(expected, (r.astype(np.intp)[:, None] * CLASSES + columns).ravel(), p.ravel())
+                    for side, logit, at_cells in _choices(t, classes[a : a + CHUNK], hashes[a : a + CHUNK], own):
+                        right = 1 / (1 + np.exp(-np.clip(logit, -40, 40)))
+                        wrong, curve = side.astype(np.float32) - right, right * (1 - right)
+                        for c in at_cells:
+                            np.add.at(inner[0], c, wrong)
+                            np.add.at(inner[1], c, curve)
+        if seen_all.any():
+            table = np.empty((ROWS + 1, width), np.float32)
+            table[:ROWS, :CLASSES] = (seen - expected).reshape(ROWS, CLASSES)
+            table[:ROWS, CLASSES] = seen.reshape(ROWS, CLASSES).sum(1)
+            table[ROWS, :CLASSES], table[ROWS, CLASSES] = seen_all - expected_all, seen_all.sum()
+            flat = np.concatenate([table.ravel(), inner.ravel(), np.zeros(-items % SUM_ITEMS, np.float32)])
+            blocks = [flat[a : a + SUM_ITEMS].tobytes() for a in range(0, len(flat), SUM_ITEMS)]
             yield pa.RecordBatch.from_pydict(
-                {"block": list(range(len(blocks))), "data": [x.tobytes() for x in blocks]},
+                {"block": list(range(len(blocks))), "data": blocks},
                 schema=pa.schema([("block", pa.int32()), ("data", pa.binary())]))
 
-    sums = summed_blocks(docs.select("text").mapInArrow(run, "block int, data binary"), "<f4", BLOCK_ROWS * width)
+    # two partial sums a block reach the driver
+    sums = summed_blocks(docs.select("text").mapInArrow(run, "block int, data binary"), "<f4", SUM_ITEMS, salts=2)
     sent.destroy()
     if not sums:
         return None
-    whole = np.concatenate([sums[k].reshape(BLOCK_ROWS, width) for k in sorted(sums)])
-    return whole[: ROWS + 1]
+    whole = np.concatenate([sums[k] for k in sorted(sums)])[:items]
+    return whole[: (ROWS + 1) * width].reshape(ROWS + 1, width), whole[(ROWS + 1) * width :].reshape(2, cells)
 
 
 def _least_count(counts: DataFrame, head: int) -> int:
@@ -218,7 +307,14 @@ def _least_count(counts: DataFrame, head: int) -> int:
     return 2**62 if least is None else int(np.ceil(2 ** (least / 8) - 1e-9))
 
 
-def train_model(train: DataFrame, counts: DataFrame, rounds: int = 4, rate: float = 0.5, ridge: float = 50.0, head: int = 300_000) -> Model:
+def _counted_trees(counts: DataFrame, bits: int) -> Trees:
+    path = F.shiftrightunsigned(F.crc32("word"), 32 - bits).cast("int")
+    leaves = counts.groupBy("class", path.alias("path")).agg(F.sum(F.col("n") + 1).alias("n")).toArrow()  # CLASSES * 2^MOST_BITS rows at most
+    return grow_trees(zip(*(leaves[c].to_pylist() for c in ("class", "path", "n")), strict=True), bits)
+
+
+def train_model(train: DataFrame, counts: DataFrame, rounds: int = 4, rate: float = 0.5, ridge: float = 50.0, head: int = 300_000,
+                cell_ridge: float = 20.0) -> Model:
     """``train`` has ``doc_id`` and ``text``; ``counts`` is the written result of ``count_words``."""
     totals = counts.groupBy("class").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds")).collect()
     by_class = np.ones(CLASSES)
@@ -233,15 +329,25 @@ def train_model(train: DataFrame, counts: DataFrame, rounds: int = 4, rate: floa
     known[END] = end[0].n if end else 0
     weights, bias = np.zeros((ROWS, CLASSES), np.float32), np.log(prior).astype(np.float32)
     spread = (prior * (1 - prior)).astype(np.float32)
+    kinds = int(sum(r.kinds for r in totals))
+    trees = _counted_trees(counts, min(MOST_BITS, 2 + math.ceil(math.log2(max(4, kinds / CLASSES)))))
     for k in range(rounds):
         part = train.where(crc_mod(F.concat(F.lit("round"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), rounds) == k)
-        step = _gradient(part, weights, bias)
-        if step is None:
+        sums = _gradient(part, weights, bias, trees)
+        if sums is None:
             continue
+        step, (wrong, curve) = sums
         change = rate * step[:, :CLASSES] / (step[:, CLASSES:] * spread + ridge)
         weights = weights + change[:ROWS]
         bias = bias + change[ROWS]
-    return Model(weights, bias.astype(np.float32), known, int(sum(r.n for r in totals)), int(sum(r.kinds for r in totals)), by_class)
+        trees.cells = trees.cells + rate * wrong / (curve + cell_ridge)
+    return Model(weights, bias.astype(np.float32), trees, known, int(sum(r.n for r in totals)), kinds, by_class)
+
+
+def _log_model(m: Model, classes: np.ndarray, hashes: np.ndarray, features: list[np.ndarray]) -> np.ndarray:
+    """log10 of P(word | history) over the word's count plus one."""
+    p = _softmax(m.weights, m.bias, _rows(features))[np.arange(len(classes)), classes]
+    return np.log10(np.maximum(p, 1e-30).astype(np.float64)) + _log_inside(m.trees, classes, hashes, features)
 
 
 def score_texts(docs: DataFrame, model: Model, counts: DataFrame, keep: list[str], text_col: str = "text") -> DataFrame:
@@ -252,15 +358,16 @@ def score_texts(docs: DataFrame, model: Model, counts: DataFrame, keep: list[str
     def run(batches):
         m = sent.value
         vocabulary = Vocabulary(m.head)
-        class_cost = np.log10(m.class_total)
         for batch in batches:
             for part in slices(batch, "text", BLOCK_BYTES):
                 codes, sizes = vocabulary.codes(part["text"].to_pylist())
-                at, rows = _history(vocabulary, codes, sizes)
+                at, features = _features(vocabulary, codes, sizes)
                 own = codes[at]
                 classes, times = _of(vocabulary.classes, np.int32, own), _of(vocabulary.counts, np.int64, own)
-                p = _softmax(m.weights, m.bias, rows)[np.arange(len(at)), classes]
-                by_class = np.log10(np.maximum(p, 1e-30).astype(np.float64)) - class_cost[classes]
+                hashes = _of(vocabulary.hashes, np.uint32, own)
+                log_model = np.concatenate([
+                    _log_model(m, classes[a : a + CHUNK], hashes[a : a + CHUNK], [h[a : a + CHUNK] for h in features])
+                    for a in range(0, len(at), CHUNK)])
                 firsts = np.cumsum(sizes) - sizes
                 rare_words, rare_times = [], []
                 for a, n in zip(firsts.tolist(), sizes.tolist(), strict=True):
@@ -272,15 +379,15 @@ def score_texts(docs: DataFrame, model: Model, counts: DataFrame, keep: list[str
                         part["row_id"], pa.array(sizes, pa.int64()),
                         pa.array(np.add.reduceat((times > 0).astype(np.int64), firsts)),
                         pa.array(np.add.reduceat(np.log10(np.maximum(times, 0) + 1.0), firsts)),
-                        pa.array(np.add.reduceat(by_class, firsts)),
+                        pa.array(np.add.reduceat(log_model, firsts)),
                         pa.array(rare_words, pa.list_(pa.binary())), pa.array(rare_times, pa.list_(pa.int64()))],
-                    [*kept, "row_id", "n_tokens", "known", "log_head", "log_class", "words", "times"])
+                    [*kept, "row_id", "n_tokens", "known", "log_head", "log_model", "words", "times"])
 
     rows = docs.select(
         *[F.col(f"`{c}`").alias(k) for c, k in zip(keep, kept, strict=True)], F.monotonically_increasing_id().alias("row_id"),
         F.col(f"`{text_col}`").alias("text"))
     schema = rows.drop("text").schema
-    for name, kind in (("n_tokens", "long"), ("known", "long"), ("log_head", "double"), ("log_class", "double"),
+    for name, kind in (("n_tokens", "long"), ("known", "long"), ("log_head", "double"), ("log_model", "double"),
                        ("words", ArrayType(BinaryType())), ("times", ArrayType(LongType()))):
         schema = schema.add(name, kind)
     scored = written(rows.mapInArrow(run, schema), "scored")
@@ -297,7 +404,7 @@ def score_texts(docs: DataFrame, model: Model, counts: DataFrame, keep: list[str
         *[F.col(k).alias(c) for c, k in zip(keep, kept, strict=True)], "n_tokens",
         (F.col("known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(model.tokens).cast("long").alias("train_tokens"),
-        (logs - F.col("n_tokens") * base).alias("base_score"), (logs + F.col("log_class")).alias("score"))
+        (logs - F.col("n_tokens") * base).alias("base_score"), (logs + F.col("log_model")).alias("score"))
 
 
 def fit(train: DataFrame, **parameters) -> tuple[Model, DataFrame]:
