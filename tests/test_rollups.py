@@ -32,6 +32,16 @@ def test_bitmaps_count_exactly_at_every_level(spark):
     assert _rows(distinct_counts(both, ["day"], "n")) == _rows(df.where("id is not null").groupBy("day").agg(F.countDistinct("id").alias("n")))
 
 
+def test_bitmaps_of_scattered_ids_stay_small(spark, capsys):
+    df = spark.range(-50, 50).selectExpr("'d' || id % 3 as day", "id * 40000 as id")
+    bits = id_bitmaps(df, ["day"], "id")
+    assert dict(bits.dtypes)["id_bits"] == "bigint"  # 8 bytes, however few ids of a block a group has
+    distinct_counts(bits, ["day"], "n").explain()
+    plan = capsys.readouterr().out
+    assert "HashAggregate" in plan and "SortAggregate" not in plan  # sorted groups of binary bitmaps don't spill
+    assert _rows(distinct_counts(bits, ["day"], "n")) == _rows(df.groupBy("day").agg(F.countDistinct("id").alias("n")))
+
+
 def _views(star):
     return {"vw_daily_revenue": revenue.daily_revenue(star), "vw_revenue_by_channel": revenue.revenue_by_channel(star),
             "vw_revenue_by_category": products.revenue_by_category(star), "vw_category_margin_monthly": products.category_margin_monthly(star)}
