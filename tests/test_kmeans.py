@@ -77,3 +77,26 @@ def test_segments_of_few_and_no_customers(spark):
         assert sorted(by_cluster) == list(range(len(by_cluster)))
         assert sorted(by_cluster.values(), reverse=True) == [by_cluster[c] for c in sorted(by_cluster)]
         assert segments.cluster_summary(s).count() == len(by_cluster)
+
+
+def test_a_pass_hands_on_sums_and_no_row_a_restart(spark):
+    points = spark.range(5000).selectExpr("id % 97 as x", "IF(id = 7, NULL, id % 31) as y", "IF(id % 2 = 0, NULL, id) as a").coalesce(1)
+    active = {r: [(r, 0), (50, 20), (90, 30)] for r in range(10)}
+    assert kmeans._partial_sums(points, ["x", "y"], "a", active).count() <= 30
+    sums = kmeans._sums(points, ["x", "y"], "a", active)
+    rows = points.collect()
+    for r, centres in active.items():
+        want = {}
+        for x, y, a in rows:
+            d, c = min(((x - u) ** 2 + (y - v) ** 2, c) for c, (u, v) in enumerate(centres)) if y is not None else (0, 0)
+            n, at, far, money = want.get(c, (0, [0, 0], 0, 0))
+            want[c] = n + 1, [at[0] + x, at[1] + (y or 0)], far + d, money + (a or 0)
+        assert sums[r] == want
+
+
+def test_sums_beyond_64_bits_are_exact_and_distances_beyond_them_fail(spark):
+    far = 1_400_000_000
+    points = spark.range(10).selectExpr("id", f"IF(id < 5, -{far}L, {far}L) as x", "1L as a")
+    assert kmeans.fit(points, "id", ["x"], "a", k=1, restarts=1)[0].inertia == 10 * far**2
+    with pytest.raises(Exception, match="beyond 64 bits"):
+        kmeans.fit(points.selectExpr("id", "3 * x as x", "a"), "id", ["x"], "a", k=1, restarts=1)
