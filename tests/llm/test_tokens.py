@@ -50,6 +50,18 @@ def test_word_ids_equal_library():
         assert np.frombuffer(own.text_ids(t), "<u4").tolist() == lib.encode(t or "", add_special_tokens=False).ids, t
 
 
+def test_a_full_word_memo_keeps_what_is_still_met(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_WORDS", 5)
+    with open(P.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        words = packing.WordIds(f.read())
+    first = None
+    for i in range(60):
+        words.text_ids(f"often w{chr(97 + i % 26)}x{chr(97 + i // 26)}")
+        first = first or words[b"often"]
+        assert words[b"often"] is first  # the same object: not encoded anew
+        assert len(words) + len(words.old) <= 2 * (5 + 2)
+
+
 def test_packing_places_every_id_once(docs_of):
     all_texts = texts(400, 3)
     rows = list(enumerate(all_texts)) + [(None, "no id"), (5, all_texts[5])]

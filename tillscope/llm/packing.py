@@ -10,8 +10,9 @@ and ids, so that no document, source, group of copies or repeated id fills one
 group, and groups are packed independently.
 
 Words repeat far more often than they change, so a worker keeps the ids of
-words it has met (``CACHE_WORDS`` at most, then it starts afresh); the tests
-check this against encoding whole texts.
+words it has met, twice ``CACHE_WORDS`` at most: when a memo is full it becomes
+the old one, words still met move to the new, and the rest goes with the next
+change.  The tests check this against encoding whole texts.
 
 Defined cases: a null or empty text is the end id alone; repeated rows are
 packed each; a null id stays null; an empty table gives no pieces; ties in
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tillscope.llm.common import slices
 
-CACHE_WORDS = 500_000
+CACHE_WORDS = 350_000
 PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 _CUT = "doc_id long, start long, length long, doc_tokens long, ids binary"
 
@@ -88,12 +89,17 @@ class WordIds(dict):
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
+        self.old: dict[bytes, bytes] = {}
         self.marks = sorted({x.content[:2] for x in self.tokenizer.get_added_tokens_decoder().values()})
 
     def encode(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def __missing__(self, word: bytes) -> bytes:
+        ids = self.old.pop(word, None)
+        if ids is not None:
+            self[word] = ids
+            return ids
         text = word.decode()
         if len(text) > 1 and text[-1] in ",." and text[-2].lower().isalpha():
             ids = self[word[:-1]] + self[word[-1:]]
@@ -111,6 +117,7 @@ class WordIds(dict):
         if any(mark in text for mark in self.marks):
             return self.encode(text)
         if len(self) > CACHE_WORDS:
+            self.old = dict(self)
             self.clear()
         return b"".join(map(self.__getitem__, text.encode().lower().replace(b"\n", b" ").split(b" ")))
 
