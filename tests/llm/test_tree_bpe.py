@@ -92,3 +92,16 @@ def test_registered_query_equals_library(spark, tmp_path):
     for r in queries()["op13_tree_bpe"](spark, str(tmp_path)).collect():
         ids = lib.encode(rows[r.doc_id][1] or "", add_special_tokens=False).ids
         assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
+
+
+def test_a_full_memo_keeps_what_is_still_met(monkeypatch):
+    monkeypatch.setattr(tree_bpe, "CACHE_TOKENS", 5)
+    merged = []
+    true = tree_bpe.merge_parts
+    monkeypatch.setattr(tree_bpe, "merge_parts", lambda *a: merged.append(a[0]) or true(*a))
+    coder, lib = tree_bpe.Coder(open(FILE, encoding="utf-8").read()), Tokenizer.from_file(FILE)
+    for i in range(60):
+        text = f"often w{chr(97 + i % 26)}x{chr(97 + i // 26)}"
+        assert coder.encode(text) == lib.encode(text, add_special_tokens=False).ids
+        assert len(coder) + len(coder.old) <= 2 * (5 + 3)
+    assert sum(p == [coder.byte_ids[b] for b in b"often"] for p in merged) == 1

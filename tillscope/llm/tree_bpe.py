@@ -9,8 +9,9 @@ hold the least of their leaves, so the root is the leftmost pair of lowest rank.
 A merge changes three leaves, each a walk from leaf to root, and merging ends
 when the root is infinite: m parts take O(m log m).
 
-A worker keeps the ids of pre-tokens it has met (``CACHE_TOKENS`` at most, then
-it starts afresh).  Decoding turns ids into tokens, tokens into bytes and those
+A worker keeps the ids of pre-tokens it has met, twice ``CACHE_TOKENS`` at most:
+when a memo is full it becomes the old one, those still met move to the new, and
+the rest goes with the next change.  Decoding turns ids into tokens, tokens into bytes and those
 into text, special tokens included; ids that the file doesn't know are skipped,
 and bytes that are no UTF-8 become U+FFFD.
 
@@ -124,6 +125,7 @@ class Coder(dict):
             raise ValueError("not a plain byte-level BPE tokenizer file")
         vocab = model["vocab"]
         letters = byte_letters()
+        self.old: dict[str, list[int]] = {}
         self.byte_ids = [vocab[letter] for letter in letters]
         self.merges: dict[tuple[int, int], tuple[int, int]] = {}
         for rank, pair in enumerate(model["merges"]):
@@ -139,13 +141,17 @@ class Coder(dict):
         self.beyond_latin = re.compile("[^\x00-ɏ]").search
 
     def __missing__(self, pre_token: str) -> list[int]:
-        ids = self[pre_token] = merge_parts([self.byte_ids[b] for b in pre_token.encode()], self.merges)
+        ids = self.old.pop(pre_token, None)
+        if ids is None:
+            ids = merge_parts([self.byte_ids[b] for b in pre_token.encode()], self.merges)
+        self[pre_token] = ids
         return ids
 
     def encode(self, text: str | None) -> list[int]:
         if not text:
             return []
         if len(self) > CACHE_TOKENS:
+            self.old = dict(self)
             self.clear()
         find = self.find_any if self.beyond_latin(text) else self.find_latin
         out: list[int] = []
