@@ -99,6 +99,64 @@ def test_score_equals_brute_force_and_adds_up_to_one(docs_of):
     assert math.isclose(sum(map(math.exp, leaves)), 1, rel_tol=1e-4)
 
 
+def test_tokens_of_a_block_equal_plain_python():
+    rnd = random.Random(1)
+    texts = [None, "", " \t\n", "A b", "É" * 70 + " x" * 3, "q" * 64 + " " + "q" * 65 + " " + "Q" * 1000 + " " + "q" * 999 + "r"]
+    texts += ["".join(rnd.choice("abcABC é\t\n\x0b\x0c\r\x85 \x1c😀") for _ in range(rnd.randrange(60))) for _ in range(200)]
+    head = {w: i + 1 for i, w in enumerate(sorted({w for t in texts[1::2] for w in maxent_lm.words_of(t)}))} | {maxent_lm.END: 77}
+    vocabulary = maxent_lm.Vocabulary(head)
+    for block in (texts, [None], ["a"], [" a"]):
+        tokens, sizes = vocabulary.codes(block)
+        at, _ = maxent_lm._features(tokens, sizes)
+        want = [w for t in block for w in [*maxent_lm.words_of(t), maxent_lm.END]]
+        assert tokens.hashes[at].tolist() == [zlib.crc32(w) for w in want]
+        assert tokens.classes[at].tolist() == [maxent_lm.class_of(w) for w in want]
+        assert vocabulary.counts(tokens)[at].tolist() == [head.get(w, -1) for w in want]
+
+
+def test_head_tells_words_of_one_hash_apart():
+    a, b = b"plumless", b"buckeroo"
+    assert zlib.crc32(a) == zlib.crc32(b)
+    for known, other in ((a, b), (b, a)):
+        vocabulary = maxent_lm.Vocabulary({known: 5, maxent_lm.END: 1})
+        tokens, _ = vocabulary.codes([(known + b" " + other).decode()])
+        assert vocabulary.counts(tokens)[tokens.places].tolist() == [5, -1]
+
+
+def test_gradient_equals_brute_force(docs_of):
+    texts = ["a b c a", "b a\tb", None, "c é é b"] * 3
+    rng = np.random.default_rng(5)
+    trees = maxent_lm.grow_trees([(maxent_lm.class_of(w), zlib.crc32(w) >> 29, 4) for w in (b"a", b"b", b"c")], 3)
+    trees.cells = rng.normal(0, 0.3, len(trees.cells)).astype(np.float32)
+    weights, bias = rng.normal(0, 0.3, (maxent_lm.ROWS, maxent_lm.CLASSES)).astype(np.float32), np.zeros(maxent_lm.CLASSES, np.float32)
+    step, (wrong, curve) = maxent_lm._gradient(docs_of(list(enumerate(texts))), weights, bias, trees)
+    want, want_wrong, want_curve = np.zeros_like(step, float), np.zeros_like(wrong, float), np.zeros_like(curve, float)
+    for text in texts:
+        tokens, sizes = maxent_lm.Vocabulary({}).codes([text])
+        at, features = maxent_lm._features(tokens, sizes)
+        for i, (h, c) in enumerate(zip(tokens.hashes[at], tokens.classes[at], strict=True)):
+            own = [f[i : i + 1] for f in features]
+            rows = [int(r[0]) for r in maxent_lm._rows(own)]
+            p = np.exp(bias + weights[rows].sum(0))
+            miss = np.eye(maxent_lm.CLASSES)[c] - p / p.sum()
+            for r in [*rows, maxent_lm.ROWS]:
+                want[r] += [*miss, 1]
+            for side, logit, cells in maxent_lm._choices(trees, np.array([c]), np.array([h]), own):
+                right = 1 / (1 + math.exp(-logit[0]))
+                for x in cells:
+                    want_wrong[x[0]] += side[0] - right
+                    want_curve[x[0]] += right * (1 - right)
+    assert np.allclose(step, want, atol=1e-4) and np.allclose(wrong, want_wrong, atol=1e-4) and np.allclose(curve, want_curve, atol=1e-4)
+
+
+def test_gradients_handed_on_follow_the_tokens_not_the_files(docs_of, monkeypatch):
+    tasks, gradient = [], maxent_lm._gradient
+    monkeypatch.setattr(maxent_lm, "_gradient", lambda docs, *rest: (tasks.append(docs.rdd.getNumPartitions()), gradient(docs, *rest))[1])
+    docs = docs_of([(i, "a b c") for i in range(60)]).repartition(30)
+    model, _ = maxent_lm.fit(docs, rounds=2)
+    assert model.tokens == 240 and tasks == [1, 1]
+
+
 def brute(vectors, query, k):
     own = np.array(vectors[query], float)
     found = [(-float(np.array(v, float) @ own), i) for i, v in vectors.items() if i != query]

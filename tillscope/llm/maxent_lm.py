@@ -20,13 +20,15 @@ words first).  Both factors are trained by synchronous distributed updates: the
 training texts are dealt into ``rounds`` by a hash of their id, and in each
 round every task computes the gradient of its texts of that round, blocks of
 gradients are summed across tasks, and the driver takes one diagonally scaled
-step.  The weight tables' sizes are fixed by parameters.
+step.  The weight tables' sizes are fixed by parameters, and so is what a task
+hands on, so a round has a task for every ``TASK_TOKENS`` tokens at most.
 
 Scoring: counts of the most frequent words, ``head`` at most, are broadcast; all other words of a text leave the task as (text, word, times) rows
 and meet their counts in a join, so any vocabulary size is exact.
 
 Texts are read in blocks of about ``BLOCK_BYTES`` and handled in numpy chunks of
-``CHUNK`` tokens, which stay in a core's cache.
+``CHUNK`` tokens, which stay in a core's cache; words are split, hashed and
+found among the head words in whole columns, a byte of all words at a time.
 
 Defined cases: a null or empty text is the end token alone; a null id is in no
 fold but that of the empty id text; repeated rows are scored each; without
@@ -35,9 +37,9 @@ training rows every count is zero and the classes are uniform.
 
 from __future__ import annotations
 
+import itertools
 import math
 import zlib
-from array import array
 from collections import Counter
 from collections.abc import Iterable
 from dataclasses import dataclass
@@ -51,6 +53,7 @@ from pyspark.sql.types import ArrayType, BinaryType, LongType
 from tillscope.llm.common import crc_mod, slices, summed_blocks, written
 
 CLASSES = 25
+PAIRS = (CLASSES + 1) // 2
 ROWS = 1 << 14
 MOST_BITS = 14  #: levels of a class's tree at most
 CELLS = 1 << 14  #: weights of one feature on one level of the trees
@@ -58,6 +61,7 @@ CHUNK = 1 << 14
 SUM_ITEMS = 1 << 16  #: numbers in one block of summed gradients
 BLOCK_BYTES = 2_000_000
 TASK_WORDS = 400_000  #: words a task counts before it hands them on
+TASK_TOKENS = 1_000_000  #: tokens of a round for each task that hands on a gradient of fixed size
 END = b""  #: no word is empty
 _MIX = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)
 
@@ -86,63 +90,158 @@ class Model:
     weights: np.ndarray
     bias: np.ndarray
     trees: Trees
-    head: dict[bytes, int]  #: counts of the most frequent words and of the end
+    head: Head
     tokens: int  #: N
     kinds: int  #: V
     class_total: np.ndarray
 
 
-class Vocabulary(dict):
-    """Word to a dense code, with class, hash and count (-1: not in the head) by code."""
-
-    LIMIT = 500_000
+@dataclass
+class Tokens:
+    """A block's tokens: two starts before and one end after the words of each text."""
 
-    def __init__(self, head: dict[bytes, int]):
-        self.start = head
-        self.reset()
+    data: bytes  #: the texts, A-Z lower-cased, a space after each
+    starts: np.ndarray  #: of each word in ``data``
+    lengths: np.ndarray
+    places: np.ndarray  #: of each word among the tokens
+    firsts: np.ndarray  #: each text's first word, and the number of words
+    hashes: np.ndarray  #: by token
+    classes: np.ndarray
 
-    def reset(self):
-        self.clear()
-        self.classes, self.hashes, self.counts, self.words = array("i"), array("I"), array("q"), []
-        for word, n in self.start.items():
-            self._add(word, n)
 
-    def _add(self, word: bytes, n: int) -> int:
-        self[word] = code = len(self.words)
-        self.words.append(word)
-        self.classes.append(class_of(word))
-        self.hashes.append(zlib.crc32(word))
-        self.counts.append(n)
-        return code
+def _crc_table() -> np.ndarray:
+    table = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        table = np.where(table & 1, table >> 1 ^ np.uint32(0xEDB88320), table >> 1)
+    return table
 
-    def __missing__(self, word: bytes) -> int:
-        return self._add(word, -1)
 
-    def codes(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Codes of all tokens, two starts before and one end after each text; and the tokens of each text."""
-        if len(self) > self.LIMIT + len(self.start):
-            self.reset()
-        start = self[b" "]  # a word that no text holds
-        flat, sizes = [], []
-        for text in texts:
-            words = words_of(text)
-            sizes.append(len(words) + 1)
-            flat.append(start)
-            flat.append(start)
-            flat.extend(map(self.__getitem__, words))
-            flat.append(self[END])
-        return np.array(flat, np.int32), np.array(sizes)
+_CRC = _crc_table()
+_SPACE = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+LONG_WORD = 64  #: bytes; longer words are handled one by one
 
 
-def _of(values: array, kind, codes: np.ndarray) -> np.ndarray:
-    return np.frombuffer(values, kind)[codes]
+def _by_length(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words from longest to shortest, and how many have more than 0, 1, ... bytes; ``LONG_WORD`` and one more count as one length."""
+    short = (LONG_WORD + 1 - np.minimum(lengths, LONG_WORD + 1)).astype(np.uint16)
+    return np.argsort(short, kind="stable"), np.cumsum(np.bincount(short, minlength=LONG_WORD + 2))[LONG_WORD::-1]
 
 
-def _features(vocabulary: Vocabulary, codes: np.ndarray, sizes: np.ndarray):
+def _crc32(data: bytes, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """``zlib.crc32`` of each word, all words a byte at a time."""
+    letters = np.frombuffer(data, np.uint8)
+    order, longer = _by_length(lengths)
+    at, crc = starts[order], np.full(len(starts), 0xFFFFFFFF, np.uint32)
+    for k in range(LONG_WORD):
+        n = longer[k]
+        if not n:
+            break
+        now = crc[:n]
+        crc[:n] = _CRC.take((now & np.uint32(255)) ^ letters.take(at[:n] + k)) ^ (now >> np.uint32(8))
+    out = np.empty(len(starts), np.uint32)
+    out[order] = ~crc
+    for i in order[: longer[LONG_WORD]].tolist():
+        out[i] = zlib.crc32(data[starts[i] : starts[i] + lengths[i]])
+    return out
+
+
+def _classes(data: bytes, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """``class_of`` each word; none is empty."""
+    width = np.minimum(lengths, 2)
+    return (_crc32(data, starts + lengths - width, width) % np.uint32(CLASSES - 1) + np.uint32(1)).astype(np.int32)
+
+
+class Head:
+    """Counts of the most frequent words, found by their hash and compared byte by byte."""
+
+    def __init__(self, words: list[bytes], counts: list[int], end: int):
+        lengths = np.array([len(w) for w in words], np.int64)
+        starts = np.cumsum(lengths) - lengths
+        self.data, self.end = b"".join(words), end
+        hashes = _crc32(self.data, starts, lengths)
+        order = np.argsort(hashes, kind="stable")
+        self.hashes, self.starts, self.lengths, self.counts = hashes[order], starts[order], lengths[order], np.array(counts, np.int64)[order]
+        self.bits = max(1, len(words).bit_length())
+        slots = np.arange((1 << self.bits) + 1, dtype=np.int64) << (32 - self.bits)
+        self.slots = np.searchsorted(self.hashes.astype(np.int64), slots).astype(np.int32)
+
+    def _equal(self, found: np.ndarray, data: bytes, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Whether the head's words are these words, of the same lengths."""
+        own, other = np.frombuffer(self.data, np.uint8), np.frombuffer(data, np.uint8)
+        order, longer = _by_length(lengths)
+        at, own_at, same = starts[order], self.starts[found][order], np.ones(len(starts), bool)
+        for k in range(LONG_WORD):
+            n = longer[k]
+            if not n:
+                break
+            same[:n] &= own.take(own_at[:n] + k) == other.take(at[:n] + k)
+        for i in range(longer[LONG_WORD]):
+            n = lengths[order[i]]
+            same[i] = self.data[own_at[i] : own_at[i] + n] == data[at[i] : at[i] + n]
+        out = np.empty(len(starts), bool)
+        out[order] = same
+        return out
+
+    def look_up(self, data: bytes, starts: np.ndarray, lengths: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """Each word's count, -1 where the head doesn't hold it."""
+        out = np.full(len(starts), -1, np.int64)
+        slot = (hashes >> np.uint32(32 - self.bits)).astype(np.int64)
+        at, stop = self.slots.take(slot), self.slots.take(slot + 1)
+        open_ = np.flatnonzero(at < stop)
+        at, stop = at[open_], stop[open_]
+        while len(open_):
+            maybe = np.flatnonzero((self.hashes.take(at) == hashes[open_]) & (self.lengths.take(at) == lengths[open_]))
+            own = open_[maybe]
+            maybe = maybe[self._equal(at[maybe], data, starts[own], lengths[own])]
+            out[open_[maybe]] = self.counts.take(at[maybe])
+            at += 1
+            left = at < stop
+            left[maybe] = False
+            open_, at, stop = open_[left], at[left], stop[left]
+        return out
+
+
+class Vocabulary:
+    """Tokens of texts, and their counts in the head."""
+
+    def __init__(self, head: Head | dict[bytes, int]):
+        if isinstance(head, dict):
+            words = [w for w in head if w]
+            head = Head(words, [head[w] for w in words], head.get(END, 0))
+        self.head = head
+
+    def codes(self, texts: list[str | None]) -> tuple[Tokens, np.ndarray]:
+        """The tokens, and how many each text has without its starts."""
+        raw = [t.encode() if t else b"" for t in texts]
+        data = b" ".join([*raw, b""]).lower()
+        space = _SPACE.take(np.frombuffer(data, np.uint8))
+        edges = np.flatnonzero(space[1:] != space[:-1]) + 1
+        if len(space) and not space[0]:
+            edges = np.concatenate([[0], edges])
+        starts, lengths = edges[::2], edges[1::2] - edges[::2]
+        stops = np.cumsum([len(x) + 1 for x in raw], dtype=np.int64)
+        firsts = np.concatenate([[0], np.searchsorted(starts, stops)])
+        words = np.diff(firsts)
+        ends = np.cumsum(words + 3) - 1
+        places = np.arange(len(starts)) + np.repeat(3 * np.arange(len(raw)) + 2, words)
+        hashes = np.full(len(starts) + 3 * len(raw), zlib.crc32(b" "), np.uint32)  # a word that no text holds
+        classes = np.zeros(len(hashes), np.int32)
+        hashes[places], hashes[ends] = _crc32(data, starts, lengths), zlib.crc32(END)
+        classes[places], classes[ends] = _classes(data, starts, lengths), class_of(END)
+        return Tokens(data, starts, lengths, places, firsts, hashes, classes), words + 1
+
+    def counts(self, tokens: Tokens) -> np.ndarray:
+        """Count by token, -1 for words outside the head."""
+        out = np.full(len(tokens.hashes), self.head.end, np.int64)
+        out[tokens.places] = self.head.look_up(tokens.data, tokens.starts, tokens.lengths, tokens.hashes[tokens.places])
+        return out
+
+
+def _features(tokens: Tokens, sizes: np.ndarray):
     """Positions of real tokens and the hashes of the three features of each."""
-    hashes = _of(vocabulary.hashes, np.uint32, codes)
+    hashes = tokens.hashes
     starts = np.cumsum(sizes + 2) - (sizes + 2)
-    real = np.ones(len(codes), bool)
+    real = np.ones(len(hashes), bool)
     real[starts] = real[starts + 1] = False
     at = np.flatnonzero(real)
     one, two = hashes[at - 1], hashes[at - 2]
@@ -158,9 +257,9 @@ def _rows(features: list[np.ndarray]) -> list[np.ndarray]:
     return [h >> np.uint32(32 - ROWS.bit_length() + 1) for h in features]
 
 
-def _history(vocabulary: Vocabulary, codes: np.ndarray, sizes: np.ndarray):
+def _history(vocabulary: Vocabulary, codes: Tokens, sizes: np.ndarray):
     """Positions of real tokens and the three feature rows of each."""
-    at, features = _features(vocabulary, codes, sizes)
+    at, features = _features(codes, sizes)
     return at, _rows(features)
 
 
@@ -246,18 +345,17 @@ def _gradient(docs: DataFrame, weights: np.ndarray, bias: np.ndarray, trees: Tre
 
     def run(batches):
         w, b, t = sent.value
-        expected = np.zeros(ROWS * CLASSES, np.float32)
+        # two sums lie side by side as one complex number: half as many to place; the classes are padded to even
+        expected, places = np.zeros(ROWS * PAIRS, np.complex64), np.arange(PAIRS)
         expected_all, seen = np.zeros(CLASSES), np.zeros(ROWS * CLASSES, np.int64)
         seen_all = np.zeros(CLASSES, np.int64)
-        inner = np.zeros((2, cells), np.float32)
+        inner = np.zeros(cells, np.complex64)  # gradient and curvature
         vocabulary = Vocabulary({END: 0})
-        columns = np.arange(CLASSES)
         for batch in batches:
             for part in slices(batch, "text", BLOCK_BYTES):
                 codes, sizes = vocabulary.codes(part["text"].to_pylist())
-                at, features = _features(vocabulary, codes, sizes)
-                classes = _of(vocabulary.classes, np.int32, codes[at])
-                hashes = _of(vocabulary.hashes, np.uint32, codes[at])
+                at, features = _features(codes, sizes)
+                classes, hashes = codes.classes[at], codes.hashes[at]
                 seen_all += np.bincount(classes, minlength=CLASSES)
                 for r in _rows(features):
                     seen += np.bincount(r.astype(np.intp) * CLASSES + classes, minlength=ROWS * CLASSES)
@@ -266,20 +364,23 @@ def _gradient(docs: DataFrame, weights: np.ndarray, bias: np.ndarray, trees: Tre
                     rows = _rows(own)
                     p = _softmax(w, b, rows)
                     expected_all += p.sum(0)
+                    # made here, not derived from what was sent: numpy adds fast only where types are the very same
+                    padded = np.zeros((len(p), 2 * PAIRS), np.float32)
+                    padded[:, :CLASSES] = p
                     for r in rows:
-                        np.add.at(expected, (r.astype(np.intp)[:, None] * CLASSES + columns).ravel(), p.ravel())
+                        np.add.at(expected, (r.astype(np.intp)[:, None] * PAIRS + places).ravel(), padded.view(np.complex64).ravel())
                     for side, logit, at_cells in _choices(t, classes[a : a + CHUNK], hashes[a : a + CHUNK], own):
                         right = 1 / (1 + np.exp(-np.clip(logit, -40, 40)))
-                        wrong, curve = side.astype(np.float32) - right, right * (1 - right)
+                        both = np.empty(len(right), np.complex64)
+                        both.real, both.imag = side - right, right * (1 - right)
                         for c in at_cells:
-                            np.add.at(inner[0], c, wrong)
-                            np.add.at(inner[1], c, curve)
+                            np.add.at(inner, c, both)
         if seen_all.any():
             table = np.empty((ROWS + 1, width), np.float32)
-            table[:ROWS, :CLASSES] = (seen - expected).reshape(ROWS, CLASSES)
+            table[:ROWS, :CLASSES] = seen.reshape(ROWS, CLASSES) - expected.view(np.float32).reshape(ROWS, -1)[:, :CLASSES]
             table[:ROWS, CLASSES] = seen.reshape(ROWS, CLASSES).sum(1)
             table[ROWS, :CLASSES], table[ROWS, CLASSES] = seen_all - expected_all, seen_all.sum()
-            flat = np.concatenate([table.ravel(), inner.ravel(), np.zeros(-items % SUM_ITEMS, np.float32)])
+            flat = np.concatenate([table.ravel(), inner.real, inner.imag, np.zeros(-items % SUM_ITEMS, np.float32)])
             blocks = [flat[a : a + SUM_ITEMS].tobytes() for a in range(0, len(flat), SUM_ITEMS)]
             yield pa.RecordBatch.from_pydict(
                 {"block": list(range(len(blocks))), "data": blocks},
@@ -323,17 +424,18 @@ def train_model(train: DataFrame, counts: DataFrame, rounds: int = 4, rate: floa
         by_class[row["class"]] += row.n + row.kinds
         prior[row["class"]] += row.n
     prior /= prior.sum()
-    top = counts.where(F.col("n") >= _least_count(counts, head)).select("word", "n").toArrow()  # ``head`` rows at most
-    known = dict(zip(top["word"].to_pylist(), top["n"].to_pylist(), strict=True))
+    top = counts.where((F.col("n") >= _least_count(counts, head)) & (F.octet_length("word") > 0)).select("word", "n").toArrow()  # ``head`` rows at most
     end = counts.where(F.octet_length("word") == 0).collect()
-    known[END] = end[0].n if end else 0
+    known = Head(top["word"].to_pylist(), top["n"].to_pylist(), end[0].n if end else 0)
     weights, bias = np.zeros((ROWS, CLASSES), np.float32), np.log(prior).astype(np.float32)
     spread = (prior * (1 - prior)).astype(np.float32)
     kinds = int(sum(r.kinds for r in totals))
     trees = _counted_trees(counts, min(MOST_BITS, 2 + math.ceil(math.log2(max(4, kinds / CLASSES)))))
+    tokens = int(sum(r.n for r in totals))
     for k in range(rounds):
         part = train.where(crc_mod(F.concat(F.lit("round"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), rounds) == k)
-        sums = _gradient(part, weights, bias, trees)
+        # many small files would hand on as many gradients: their volume follows the tokens instead
+        sums = _gradient(part.coalesce(max(1, tokens // (rounds * TASK_TOKENS))), weights, bias, trees)
         if sums is None:
             continue
         step, (wrong, curve) = sums
@@ -341,7 +443,7 @@ def train_model(train: DataFrame, counts: DataFrame, rounds: int = 4, rate: floa
         weights = weights + change[:ROWS]
         bias = bias + change[ROWS]
         trees.cells = trees.cells + rate * wrong / (curve + cell_ridge)
-    return Model(weights, bias.astype(np.float32), trees, known, int(sum(r.n for r in totals)), kinds, by_class)
+    return Model(weights, bias.astype(np.float32), trees, known, tokens, kinds, by_class)
 
 
 def _log_model(m: Model, classes: np.ndarray, hashes: np.ndarray, features: list[np.ndarray]) -> np.ndarray:
@@ -361,19 +463,18 @@ def score_texts(docs: DataFrame, model: Model, counts: DataFrame, keep: list[str
         for batch in batches:
             for part in slices(batch, "text", BLOCK_BYTES):
                 codes, sizes = vocabulary.codes(part["text"].to_pylist())
-                at, features = _features(vocabulary, codes, sizes)
-                own = codes[at]
-                classes, times = _of(vocabulary.classes, np.int32, own), _of(vocabulary.counts, np.int64, own)
-                hashes = _of(vocabulary.hashes, np.uint32, own)
+                at, features = _features(codes, sizes)
+                classes, hashes, by_token = codes.classes[at], codes.hashes[at], vocabulary.counts(codes)
+                times = by_token[at]
                 log_model = np.concatenate([
                     _log_model(m, classes[a : a + CHUNK], hashes[a : a + CHUNK], [h[a : a + CHUNK] for h in features])
                     for a in range(0, len(at), CHUNK)])
                 firsts = np.cumsum(sizes) - sizes
-                rare_words, rare_times = [], []
-                for a, n in zip(firsts.tolist(), sizes.tolist(), strict=True):
-                    rare = Counter(own[a : a + n][times[a : a + n] < 0].tolist())
-                    rare_words.append([vocabulary.words[c] for c in rare])
-                    rare_times.append(list(rare.values()))
+                own = np.flatnonzero(by_token[codes.places] < 0)
+                words = [codes.data[a : a + n] for a, n in zip(codes.starts[own].tolist(), codes.lengths[own].tolist(), strict=True)]
+                bounds = np.searchsorted(own, codes.firsts).tolist()
+                rare = [Counter(words[a:b]) for a, b in itertools.pairwise(bounds)]
+                rare_words, rare_times = [list(c) for c in rare], [list(c.values()) for c in rare]
                 yield pa.RecordBatch.from_arrays(
                     [part[c] for c in kept] + [
                         part["row_id"], pa.array(sizes, pa.int64()),
