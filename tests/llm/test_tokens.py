@@ -50,6 +50,20 @@ def test_word_ids_equal_library():
         assert np.frombuffer(own.text_ids(t), "<u4").tolist() == lib.encode(t or "", add_special_tokens=False).ids, t
 
 
+def test_packed_ids_of_a_block_equal_the_library_and_look_each_word_up_once(monkeypatch):
+    rnd, text = random.Random(2), open(WORDS, encoding="utf-8").read()
+    lib, own = Tokenizer.from_str(text), packing.WordIds(text)
+    parts = [*"abcABC'’srtvemldΣσςÀé0129.,!<>|(){}\\\"-_~`=/ \n\t\r\x0b\x0c\x1c\x85\xa0\u3000", "\u0301", "\u0338", "İ", "😀", "<|endoftext|>", "'ll,"]
+    texts = [None, "", "q" * 70 + " " + "q" * 71] + ["".join(rnd.choice(parts) for _ in range(rnd.randrange(40))) for _ in range(3000)]
+    for t, ids in zip(texts, own.texts_ids(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == lib.encode(t or "", add_special_tokens=False).ids, t
+    asked, missing = [], packing.WordIds.__missing__
+    monkeypatch.setattr(packing.WordIds, "__missing__", lambda self, word: (asked.append(word), missing(self, word))[1])
+    packing.WordIds(text).texts_ids(["Word, (word) word.", "WORD! word"] * 50)
+    assert sorted(asked) == [b"!", b"(", b")", b",", b".", b"word"]
+
+
+
 def test_a_full_word_memo_keeps_what_is_still_met(monkeypatch):
     monkeypatch.setattr(packing, "CACHE_WORDS", 5)
     with open(P.path("word_bpe_49k.json"), encoding="utf-8") as f:

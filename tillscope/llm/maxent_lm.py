@@ -51,6 +51,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType
 
 from tillscope.llm.common import crc_mod, slices, summed_blocks, written
+from tillscope.llm.word_columns import crc32s, same_words, spans
 
 CLASSES = 25
 PAIRS = (CLASSES + 1) // 2
@@ -109,46 +110,14 @@ class Tokens:
     classes: np.ndarray
 
 
-def _crc_table() -> np.ndarray:
-    table = np.arange(256, dtype=np.uint32)
-    for _ in range(8):
-        table = np.where(table & 1, table >> 1 ^ np.uint32(0xEDB88320), table >> 1)
-    return table
-
-
-_CRC = _crc_table()
-_SPACE = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
-LONG_WORD = 64  #: bytes; longer words are handled one by one
-
-
-def _by_length(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Words from longest to shortest, and how many have more than 0, 1, ... bytes; ``LONG_WORD`` and one more count as one length."""
-    short = (LONG_WORD + 1 - np.minimum(lengths, LONG_WORD + 1)).astype(np.uint16)
-    return np.argsort(short, kind="stable"), np.cumsum(np.bincount(short, minlength=LONG_WORD + 2))[LONG_WORD::-1]
-
-
-def _crc32(data: bytes, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """``zlib.crc32`` of each word, all words a byte at a time."""
-    letters = np.frombuffer(data, np.uint8)
-    order, longer = _by_length(lengths)
-    at, crc = starts[order], np.full(len(starts), 0xFFFFFFFF, np.uint32)
-    for k in range(LONG_WORD):
-        n = longer[k]
-        if not n:
-            break
-        now = crc[:n]
-        crc[:n] = _CRC.take((now & np.uint32(255)) ^ letters.take(at[:n] + k)) ^ (now >> np.uint32(8))
-    out = np.empty(len(starts), np.uint32)
-    out[order] = ~crc
-    for i in order[: longer[LONG_WORD]].tolist():
-        out[i] = zlib.crc32(data[starts[i] : starts[i] + lengths[i]])
-    return out
+_KINDS = (~np.isin(np.arange(256), list(b" \t\n\v\f\r"))).astype(np.uint8)
+_CUTS = np.array([[False, True], [True, False]])
 
 
 def _classes(data: bytes, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """``class_of`` each word; none is empty."""
     width = np.minimum(lengths, 2)
-    return (_crc32(data, starts + lengths - width, width) % np.uint32(CLASSES - 1) + np.uint32(1)).astype(np.int32)
+    return (crc32s(data, starts + lengths - width, width) % np.uint32(CLASSES - 1) + np.uint32(1)).astype(np.int32)
 
 
 class Head:
@@ -158,30 +127,13 @@ class Head:
         lengths = np.array([len(w) for w in words], np.int64)
         starts = np.cumsum(lengths) - lengths
         self.data, self.end = b"".join(words), end
-        hashes = _crc32(self.data, starts, lengths)
+        hashes = crc32s(self.data, starts, lengths)
         order = np.argsort(hashes, kind="stable")
         self.hashes, self.starts, self.lengths, self.counts = hashes[order], starts[order], lengths[order], np.array(counts, np.int64)[order]
         self.bits = max(1, len(words).bit_length())
         slots = np.arange((1 << self.bits) + 1, dtype=np.int64) << (32 - self.bits)
         self.slots = np.searchsorted(self.hashes.astype(np.int64), slots).astype(np.int32)
 
-    def _equal(self, found: np.ndarray, data: bytes, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """Whether the head's words are these words, of the same lengths."""
-        own, other = np.frombuffer(self.data, np.uint8), np.frombuffer(data, np.uint8)
-        order, longer = _by_length(lengths)
-        at, own_at, same = starts[order], self.starts[found][order], np.ones(len(starts), bool)
-        for k in range(LONG_WORD):
-            n = longer[k]
-            if not n:
-                break
-            same[:n] &= own.take(own_at[:n] + k) == other.take(at[:n] + k)
-        for i in range(longer[LONG_WORD]):
-            n = lengths[order[i]]
-            same[i] = self.data[own_at[i] : own_at[i] + n] == data[at[i] : at[i] + n]
-        out = np.empty(len(starts), bool)
-        out[order] = same
-        return out
-
     def look_up(self, data: bytes, starts: np.ndarray, lengths: np.ndarray, hashes: np.ndarray) -> np.ndarray:
         """Each word's count, -1 where the head doesn't hold it."""
         out = np.full(len(starts), -1, np.int64)
@@ -192,7 +144,7 @@ class Head:
         while len(open_):
             maybe = np.flatnonzero((self.hashes.take(at) == hashes[open_]) & (self.lengths.take(at) == lengths[open_]))
             own = open_[maybe]
-            maybe = maybe[self._equal(at[maybe], data, starts[own], lengths[own])]
+            maybe = maybe[same_words(self.data, self.starts[at[maybe]], data, starts[own], lengths[own])]
             out[open_[maybe]] = self.counts.take(at[maybe])
             at += 1
             left = at < stop
@@ -212,21 +164,13 @@ class Vocabulary:
 
     def codes(self, texts: list[str | None]) -> tuple[Tokens, np.ndarray]:
         """The tokens, and how many each text has without its starts."""
-        raw = [t.encode() if t else b"" for t in texts]
-        data = b" ".join([*raw, b""]).lower()
-        space = _SPACE.take(np.frombuffer(data, np.uint8))
-        edges = np.flatnonzero(space[1:] != space[:-1]) + 1
-        if len(space) and not space[0]:
-            edges = np.concatenate([[0], edges])
-        starts, lengths = edges[::2], edges[1::2] - edges[::2]
-        stops = np.cumsum([len(x) + 1 for x in raw], dtype=np.int64)
-        firsts = np.concatenate([[0], np.searchsorted(starts, stops)])
+        data, starts, lengths, firsts = spans(texts, _KINDS, _CUTS)
         words = np.diff(firsts)
         ends = np.cumsum(words + 3) - 1
-        places = np.arange(len(starts)) + np.repeat(3 * np.arange(len(raw)) + 2, words)
-        hashes = np.full(len(starts) + 3 * len(raw), zlib.crc32(b" "), np.uint32)  # a word that no text holds
+        places = np.arange(len(starts)) + np.repeat(3 * np.arange(len(texts)) + 2, words)
+        hashes = np.full(len(starts) + 3 * len(texts), zlib.crc32(b" "), np.uint32)  # a word that no text holds
         classes = np.zeros(len(hashes), np.int32)
-        hashes[places], hashes[ends] = _crc32(data, starts, lengths), zlib.crc32(END)
+        hashes[places], hashes[ends] = crc32s(data, starts, lengths), zlib.crc32(END)
         classes[places], classes[ends] = _classes(data, starts, lengths), class_of(END)
         return Tokens(data, starts, lengths, places, firsts, hashes, classes), words + 1
 

@@ -12,7 +12,9 @@ group, and groups are packed independently.
 Words repeat far more often than they change, so a worker keeps the ids of
 words it has met, twice ``CACHE_WORDS`` at most: when a memo is full it becomes
 the old one, words still met move to the new, and the rest goes with the next
-change.  The tests check this against encoding whole texts.
+change.  Texts are read in blocks of about ``BLOCK_BYTES``; equal words of a
+block are found by their hashes, compared byte by byte, and looked up once.
+The tests check this against encoding whole texts.
 
 Defined cases: a null or empty text is the end id alone; repeated rows are
 packed each; a null id stays null; an empty table gives no pieces; ties in
@@ -21,6 +23,7 @@ length are ordered by document id and start.
 
 from __future__ import annotations
 
+import itertools
 import os
 import zlib
 
@@ -30,8 +33,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillscope.llm.common import slices
+from tillscope.llm.word_columns import first_alike, spans
 
 CACHE_WORDS = 350_000
+TURN_WORDS = 50_000  #: words looked up before the memo may turn
+BLOCK_BYTES = 4_000_000
+#: Kinds of bytes: gaps, a-z, ASCII punctuation but the apostrophe, and all others.  Where letters and punctuation
+#: meet the tokenizer always splits, so "word," and "(word" are looked up as the word and the mark.
+_KINDS = np.full(256, 3, np.uint8)
+_KINDS[list(b" \n")], _KINDS[list(b"abcdefghijklmnopqrstuvwxyz")], _KINDS[list(b'!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~')] = 0, 1, 2
+_CUTS = np.zeros((4, 4), bool)
+_CUTS[0, 1:] = _CUTS[1:, 0] = _CUTS[1, 2] = _CUTS[2, 1] = True
 PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 _CUT = "doc_id long, start long, length long, doc_tokens long, ids binary"
 
@@ -104,22 +116,42 @@ class WordIds(dict):
         if len(text) > 1 and text[-1] in ",." and text[-2].lower().isalpha():
             ids = self[word[:-1]] + self[word[-1:]]
         elif text.isalpha() and text == text.lower() and max(text) < "\u0250":
-            letters = "".join([self.letters[x] for x in word])
-            ids = np.asarray([t.id for t in self.model.tokenize(letters)], "<u4").tobytes()
+            letters = text if text.isascii() else "".join([self.letters[x] for x in word])
+            ids = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(letters)])
         else:
             ids = self.encode(text)
         self[word] = ids
         return ids
 
     def text_ids(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if any(mark in text for mark in self.marks):
-            return self.encode(text)
+        return self.texts_ids([text])[0]
+
+    def turn(self) -> None:
         if len(self) > CACHE_WORDS:
             self.old = dict(self)
             self.clear()
-        return b"".join(map(self.__getitem__, text.encode().lower().replace(b"\n", b" ").split(b" ")))
+
+    def texts_ids(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text without the end; a word is looked up once for all its places."""
+        whole = {i: self.encode(t) for i, t in enumerate(texts) if t and any(mark in t for mark in self.marks)}
+        data, starts, lengths, firsts = spans([None if i in whole else t for i, t in enumerate(texts)], _KINDS, _CUTS)
+        alike = first_alike(data, starts, lengths)
+        own = np.flatnonzero(alike == np.arange(len(alike)))
+        found: list[bytes] = []
+        for a in range(0, len(own), TURN_WORDS):
+            self.turn()
+            now = own[a : a + TURN_WORDS]
+            found += [self[data[x : x + n]] for x, n in zip(starts[now].tolist(), lengths[now].tolist(), strict=True)]
+        sizes = np.array([len(x) // 4 for x in found], np.int64)
+        number = np.empty(len(alike), np.int64)
+        number[own] = np.arange(len(own))
+        number = number[alike]
+        size = sizes[number]
+        stops = np.concatenate([[0], np.cumsum(size)])
+        at = np.repeat((np.cumsum(sizes) - sizes)[number] - stops[:-1], size) + np.arange(stops[-1])
+        ids = np.frombuffer(b"".join(found), "<u4").take(at).tobytes()
+        bounds = (4 * stops[firsts]).tolist()
+        return [whole[i] if i in whole else ids[a:b] for i, (a, b) in enumerate(itertools.pairwise(bounds))]
 
 
 _WORKER: dict[int, WordIds] = {}
@@ -139,10 +171,10 @@ def cut_documents(docs: DataFrame, tokenizer_path: str, seq_len: int, end_id: in
         end = np.asarray([end_id], "<u4").tobytes()
         step = 4 * seq_len
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", BLOCK_BYTES):
                 out = {"doc_id": [], "start": [], "length": [], "doc_tokens": [], "ids": []}
-                for doc_id, text in zip(part["doc_id"].to_pylist(), part["text"].to_pylist(), strict=True):
-                    ids = words.text_ids(text) + end
+                for doc_id, ids in zip(part["doc_id"].to_pylist(), words.texts_ids(part["text"].to_pylist()), strict=True):
+                    ids += end
                     for at in range(0, len(ids), step):
                         piece = ids[at : at + step]
                         out["doc_id"].append(doc_id)
